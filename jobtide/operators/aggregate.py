@@ -17,10 +17,11 @@ def balance_by(table: DataFrame, *keys: str) -> DataFrame:
     combined within each task before the shuffle, so a key with a large share of
     the rows costs one row per task.
     """
-    return (
-        table.dropna(subset=list(keys))
-        .groupBy(*keys)
-        .agg(F.coalesce(F.sum("saldo"), F.lit(0)).cast("bigint").alias("saldo"))
+    for key in keys:
+        if table.schema[key].nullable:
+            table = table.where(F.col(key).isNotNull())
+    return table.groupBy(*keys).agg(
+        F.coalesce(F.sum("saldo"), F.lit(0)).cast("bigint").alias("saldo")
     )
 
 

@@ -41,23 +41,26 @@ def clean(
     """Valid rows with standard texts, movement label and quarter.
 
     The rules are written as plain predicates so that they reach the scans. The
-    UF is tested before it is trimmed. ``names_are_tidy`` says the municipality
-    dimension was tidied before the join, which spares doing it per row.
+    UF is tested before it is trimmed, so trimming is left out where the list of
+    valid UFs is trimmed itself. ``names_are_tidy`` says the texts were tidied in
+    the municipality and code tables, which spares doing it per row.
     """
     uf = F.col("sigla_uf")
     valid = _official_uf(integrated).where(
         _has_uf(uf) & uf.isin(*book.valid_ufs) & F.col("tipo_mov").isin(*MOVEMENT)
     )
-    texts = {"sigla_uf": F.upper(strip(uf))}
-    for name in ("nome_municipio", "regiao"):
-        if name in valid.columns and not names_are_tidy:
-            texts[name] = title_case(strip(F.col(name)))
-    if "setor" in valid.columns:
-        texts["setor"] = strip(F.col("setor"))
+    texts = {}
+    if any(name != name.strip().upper() for name in book.valid_ufs):
+        texts["sigla_uf"] = F.upper(strip(uf))
+    if not names_are_tidy:
+        casings = {"nome_municipio": title_case, "regiao": title_case, "setor": lambda text: text}
+        for name, casing in casings.items():
+            if name in valid.columns:
+                texts[name] = casing(strip(F.col(name)))
     movement = F.col("tipo_mov").cast("int")
     quarter = quarter_label(F.col("mes"))
     return (
-        valid.withColumns(texts)
+        (valid.withColumns(texts) if texts else valid)
         .withColumns(
             {
                 "tipo_mov": movement,

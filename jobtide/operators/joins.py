@@ -1,0 +1,21 @@
+"""Choice of the join side that is sent to every task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(side: DataFrame, scan: DataFrame) -> DataFrame:
+    """Mark ``side`` for broadcast if the files of ``scan`` are below the broadcast threshold.
+
+    ``scan`` is the file scan that bounds the rows of ``side``. The planner's own
+    estimate multiplies the sizes of joined tables, so it takes a dimension that
+    is itself a join for huge and may broadcast the fact instead. Beyond the
+    threshold no mark is set: the sides are then sorted and merged, and AQE
+    splits hot keys.
+    """
+    spark = side.sparkSession
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(side) if size <= threshold else side

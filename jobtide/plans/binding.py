@@ -17,6 +17,7 @@ from jobtide.functions.text import municipality_key, strip, title_case, zero_fil
 from jobtide.operators.clean import clean
 from jobtide.operators.derive import derive
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
+from jobtide.operators.joins import broadcast_if_small
 from jobtide.sources.municipalities import tidy
 
 NO_UF_NATION = 24
@@ -54,7 +55,9 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
     def ufs(self) -> DataFrame:
         """UF and region of each nation that has one."""
@@ -68,11 +71,11 @@ class Tables:
 
     def municipalities(self) -> DataFrame:
         """One row per customer, with tidy names. The code stays a number."""
-        customer = self.customer.join(
-            self.ufs(), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-        )
-        return tidy(
-            customer.select(
+        customer = self.customer
+        ufs = broadcast_if_small(self.ufs(), self.nation)
+        placed = customer.join(ufs, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        municipalities = tidy(
+            placed.select(
                 F.col("c_custkey").alias("cod_municipio"),
                 F.col("c_name").alias("nome_municipio"),
                 "sigla_uf",
@@ -80,6 +83,7 @@ class Tables:
                 "regiao",
             )
         )
+        return broadcast_if_small(municipalities, customer)
 
     def region_ufs(self) -> DataFrame:
         """(region, list of its UFs), from the 25 nations."""
@@ -124,6 +128,7 @@ class Tables:
         placed = join_municipality(
             self.orders_with_code(), self.municipalities(), key=lambda code: code
         )
+        placed = broadcast_if_small(placed, self.orders)
         fact = self.lines(accepted_only).join(placed, "l_orderkey", "left")
         if sector:
             part = self.part.select(
@@ -144,7 +149,7 @@ class Tables:
 
     def movements_with_order_code(self) -> DataFrame:
         """Movements in the stored form: month as text, municipality as text code."""
-        orders = self.orders_with_code()
+        orders = broadcast_if_small(self.orders_with_code(), self.orders)
         lines = self.lines().join(orders, "l_orderkey", "left")
         return lines.select(
             F.date_format("ano_mes", "yyyyMM").alias("ano_mes"),

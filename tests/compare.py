@@ -1,0 +1,55 @@
+"""Row-for-row comparison of a registered query with its SQL counterpart."""
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+import __spark_entry__ as contract
+
+# Spark type -> the DuckDB type a column must have.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def database(folder):
+    connection = duckdb.connect()
+    for file in Path(folder).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def _value(value):
+    return float(f"{value:.10g}") if isinstance(value, float) and math.isfinite(value) else value
+
+
+def _bag(rows, order):
+    return Counter(tuple(_value(row[i]) for i in order) for row in rows)
+
+
+def differences(spark, folder, name, connection=None):
+    """What is different, as a list of texts; empty if nothing is."""
+    result = contract.queries()[name](spark, str(folder))
+    relation = (connection or database(folder)).sql(contract.oracle_sql()[name])
+    found = []
+    spark_types = {column: TYPES[kind] for column, kind in result.dtypes}
+    sql_types = dict(zip(relation.columns, map(str, relation.types)))
+    if spark_types != sql_types:
+        found.append(f"columns: {spark_types} != {sql_types}")
+        return found
+    order = sorted(result.columns)
+    ours = _bag(result.collect(), [result.columns.index(c) for c in order])
+    theirs = _bag(relation.fetchall(), [relation.columns.index(c) for c in order])
+    if not ours:
+        found.append("no rows")
+    if ours != theirs:
+        found.append(f"only ours {list((ours - theirs).items())[:3]}")
+        found.append(f"only SQL {list((theirs - ours).items())[:3]}")
+    return found
