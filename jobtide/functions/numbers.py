@@ -6,13 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A decimal number or an infinity. The JVM parser alone would also take type
-# suffixes such as "1d".
+# suffixes such as "1d" and hexadecimal notation.
 _NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
 def to_number(text: Column) -> Column:
-    """Text as DOUBLE, NULL where it is no number (decimal commas included)."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Text as DOUBLE, NULL where it is no number (decimal commas included).
+
+    Only text that does not end in a digit, or contains an x, pays for the pattern.
+    """
+    ends_in_digit = F.substring(text, -1, 1).between("0", "9")
+    hexadecimal = text.contains("x") | text.contains("X")
+    plain = ends_in_digit & ~hexadecimal
+    return F.when(plain | text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def round_half_even(value: Column, digits: int = 1) -> Column:

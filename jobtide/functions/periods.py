@@ -12,8 +12,9 @@ from jobtide.functions.text import strip
 
 def parse_month(text: Column) -> Column:
     """``yyyyMM`` as the first day of that month, NULL where it is no month."""
-    digits = strip(text)
-    return F.when(digits.rlike(r"^\d{6}$"), F.try_to_timestamp(digits, F.lit("yyyyMM"))).cast("date")
+    month = F.when(F.length(text) == 6, text).otherwise(strip(text))
+    day = F.concat(F.substring(month, 1, 4), F.lit("-"), F.substring(month, 5, 2), F.lit("-01"))
+    return F.when(F.length(month) == 6, day.try_cast("date"))
 
 
 def quarter_label(month: Column) -> Column:

@@ -38,8 +38,12 @@ def decode_labels(movements: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> Da
         if name in movements.columns
     }
     if "secao_cnae" in movements.columns:
-        section = strip(F.upper("secao_cnae"))
-        labels["setor"] = decode(section, book.sector, NOT_INFORMED)
+        # Most codes are clean; only the others pay for trimming.
+        section = F.col("secao_cnae")
+        trimmed = strip(F.upper(section))
+        labels["setor"] = F.coalesce(
+            decode(section, book.sector), decode(trimmed, book.sector), F.lit(NOT_INFORMED)
+        )
     return movements.withColumns(labels)
 
 

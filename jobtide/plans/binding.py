@@ -8,8 +8,11 @@ rule has rows.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from jobtide.codes import Codebook
 from jobtide.functions.lookup import decode
@@ -48,6 +51,12 @@ def whole_code(code: Column) -> Column:
     return municipality_key(code, WHOLE_CODE_WIDTH)
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Schema from the file footers, looked up once per session."""
+    return spark.read.parquet(path).schema
+
+
 class Tables:
     """The Parquet tables of one scale factor."""
 
@@ -55,7 +64,8 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        table = self.spark.read.schema(_schema(self.spark, path)).parquet(path)
         setattr(self, name, table)
         return table
 

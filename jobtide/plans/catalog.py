@@ -32,7 +32,7 @@ from jobtide.session import shared_folder
 from jobtide.sources.manifest import manifest, missing_files
 from jobtide.sources.municipalities import flatten
 from jobtide.sources.raw import conform, read_raw_month, union_months
-from jobtide.sources.tables import running_total, write_once
+from jobtide.sources.tables import materialise, running_total, write_once
 from jobtide.streaming.monthly import current_monthly, refresh_monthly
 
 YEARS = (FIRST_YEAR + 1, LAST_YEAR - 1)
@@ -255,18 +255,22 @@ def missing_months(t: Tables) -> DataFrame:
 
 
 def missing_files_query(t: Tables) -> DataFrame:
-    """Archives of (month, UF) pairs with no accepted movement, by file name."""
-    raw = t.integrated()
-    month = F.date_format("ano_mes", "yyyyMM")
-    available = (
-        raw.select(month.alias("mes"), F.col("sigla_uf_ibge").alias("uf"))
-        .distinct()
-        .select(F.concat(F.lit("movimento_"), "mes", F.lit("_"), F.coalesce("uf", F.lit("x")), F.lit(".7z")).alias("nome"))
-    )
-    accepted = t.cleaned().select(month.alias("mes"), "sigla_uf").distinct()
-    present = accepted.select(
-        F.concat(F.lit("MOVIMENTO_"), "mes", F.lit("_"), "sigla_uf").alias("stem")
+    """Archives of (month, UF) pairs with no accepted movement, by file name.
+
+    The list of files is stored first: both sides of the anti-join come from it.
+    """
+    reason = reject_reason(F.col("sigla_uf_ibge"), F.col("tipo_mov"), BOOK)
+    files = materialise(
+        t.integrated()
+        .groupBy("ano_mes", "sigla_uf_ibge")
+        .agg(F.count_if(reason.isNull()).alias("aceitos")),
+        "arquivos",
     )
+    month = F.date_format("ano_mes", "yyyyMM")
+    uf = F.coalesce("sigla_uf_ibge", F.lit("x"))
+    stem = F.concat(F.lit("movimento_"), month, F.lit("_"), uf)
+    available = files.select(F.concat(stem, F.lit(".7z")).alias("nome"), "aceitos")
+    present = files.where("aceitos > 0").select(F.upper(stem).alias("stem"))
     return missing_files(manifest(available, token="Movimento"), present)
 
 
@@ -314,33 +318,33 @@ def base_cube_rollups(t: Tables) -> DataFrame:
 
 def parse_movement_codes(t: Tables) -> DataFrame:
     """How many texts parse as a number or a month, and the sum of those that do."""
-
-    def numbers(name: str, text) -> list:
-        return [F.lit(name).alias("campo"), to_number(text).alias("valor")]
-
     priority = F.col("o_orderpriority")
     year_and_number = F.concat(
         F.year("l_shipdate").cast("string"), F.lpad(F.col("l_quantity").cast("int"), 2, "0")
     )
-    parsed = [
-        t.orders.select(*numbers("prioridade", priority)),
-        t.orders.select(*numbers("prioridade_inicial", F.substring(priority, 1, 1))),
-        t.lineitem.select(*numbers("quantidade", F.col("l_quantity").cast("string"))),
-        t.lineitem.select(
-            F.lit("competencia").alias("campo"),
-            F.month(parse_month(year_and_number)).cast("double").alias("valor"),
-        ),
-    ]
-    return union_months(
-        [
-            rows.groupBy("campo").agg(
-                F.count_if(F.col("valor").isNull()).alias("nulos"),
-                F.count("valor").alias("validos"),
-                F.coalesce(F.sum("valor"), F.lit(0.0)).alias("soma"),
+    of_orders = {
+        "prioridade": to_number(priority),
+        "prioridade_inicial": to_number(F.substring(priority, 1, 1)),
+    }
+    of_lines = {
+        "quantidade": to_number(F.col("l_quantity").cast("string")),
+        "competencia": F.month(parse_month(year_and_number)).cast("double"),
+    }
+
+    def counts(table: DataFrame, fields: dict) -> DataFrame:
+        parsed = table.select(*[value.alias(name) for name, value in fields.items()])
+        per_field = [
+            F.struct(
+                F.lit(name).alias("campo"),
+                F.count_if(F.col(name).isNull()).alias("nulos"),
+                F.count(name).alias("validos"),
+                F.coalesce(F.sum(name), F.lit(0.0)).alias("soma"),
             )
-            for rows in parsed
+            for name in fields
         ]
-    )
+        return parsed.agg(F.array(*per_field).alias("campos")).select(F.inline("campos"))
+
+    return union_months([counts(t.orders, of_orders), counts(t.lineitem, of_lines)])
 
 
 def flatten_nested(t: Tables) -> DataFrame:

@@ -325,7 +325,9 @@ FROM (SELECT ano_mes, cod_municipio FROM julgado
       EXCEPT SELECT ano_mes, cod_municipio FROM limpo) f
 """,
     "missing_files": """
-SELECT upper(nome) AS stem, nome || '.7z' AS nome, upper(nome) || '.parquet' AS arquivo_saida FROM (
+SELECT upper(nome) AS stem, nome || '.7z' AS nome, upper(nome) || '.parquet' AS arquivo_saida,
+       CAST(0 AS BIGINT) AS aceitos
+FROM (
   SELECT 'movimento_' || strftime(ano_mes, '%Y%m') || '_' || coalesce(sigla_uf, 'x') AS nome
   FROM (SELECT ano_mes, sigla_uf FROM julgado EXCEPT SELECT ano_mes, sigla_uf FROM limpo))
 """,

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from jobtide.schemas import MOVEMENTS, SOURCE_FILE
+from jobtide.session import shared_folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` ran to its end: its success marker is there."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(marker)
+    return exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
 def write_once(table: DataFrame, path: str, partition_by: str | None = None) -> bool:
@@ -43,6 +48,17 @@ def write_fact(fact: DataFrame, path: str, partition_by: str = "ano", keep_other
     )
 
 
+def materialise(table: DataFrame, label: str) -> DataFrame:
+    """``table`` written to the shared folder and read back.
+
+    Ends its lineage at files that outlive any executor, so a result that is used
+    twice is computed once.
+    """
+    path = shared_folder(table.sparkSession, label)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def read_movements(spark: SparkSession, path: str) -> DataFrame:
     """The ingested movements; columns a file lacks are NULL."""
     schema = StructType(MOVEMENTS.fields + [StructField(SOURCE_FILE, StringType())])
