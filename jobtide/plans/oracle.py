@@ -320,7 +320,8 @@ LIMIT 1000
 """,
     "missing_months": """
 SELECT ano_mes, cod_municipio, (SELECT count(*) FROM julgado j
-         WHERE j.ano_mes = f.ano_mes AND j.cod_municipio = f.cod_municipio) AS registros
+         WHERE j.ano_mes IS NOT DISTINCT FROM f.ano_mes
+           AND j.cod_municipio IS NOT DISTINCT FROM f.cod_municipio) AS registros
 FROM (SELECT ano_mes, cod_municipio FROM julgado
       EXCEPT SELECT ano_mes, cod_municipio FROM limpo) f
 """,
@@ -330,6 +331,7 @@ SELECT upper(nome) AS stem, nome || '.7z' AS nome, upper(nome) || '.parquet' AS
 FROM (
   SELECT 'movimento_' || strftime(ano_mes, '%Y%m') || '_' || coalesce(sigla_uf, 'x') AS nome
   FROM (SELECT ano_mes, sigla_uf FROM julgado EXCEPT SELECT ano_mes, sigla_uf FROM limpo))
+WHERE nome IS NOT NULL
 """,
     "domains": """,
 valores AS (
@@ -362,7 +364,7 @@ SELECT campo, count(*) - count(valor) AS nulos, count(valor) AS validos,
 FROM (SELECT 'prioridade' AS campo, TRY_CAST(o_orderpriority AS DOUBLE) AS valor FROM orders
       UNION ALL SELECT 'prioridade_inicial', TRY_CAST(left(o_orderpriority, 1) AS DOUBLE) FROM orders
       UNION ALL SELECT 'quantidade', TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) FROM lineitem
-      UNION ALL SELECT 'competencia', CASE WHEN l_quantity BETWEEN 1 AND 12
+      UNION ALL SELECT 'competencia', CASE WHEN l_quantity BETWEEN 1 AND 12 AND l_shipdate IS NOT NULL
                                            THEN CAST(l_quantity AS DOUBLE) END FROM lineitem)
 GROUP BY campo
 """,
@@ -373,7 +375,7 @@ SELECT lpad(left(CAST(c_custkey AS VARCHAR), 6), 6, '0') AS cod_municipio,
 FROM customer LEFT JOIN ufs ON c_nationkey = n_nationkey
 """,
     "monthly_record_counts": """
-SELECT ano_mes, registros, CAST(sum(registros) OVER (ORDER BY ano_mes) AS BIGINT) AS acumulado
+SELECT ano_mes, registros, CAST(sum(registros) OVER (ORDER BY ano_mes NULLS FIRST) AS BIGINT) AS acumulado
 FROM (SELECT ano_mes, count(*) AS registros FROM integrado GROUP BY ano_mes)
 """,
     "transformed_profile": """

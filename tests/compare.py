@@ -22,7 +22,8 @@ TYPES = {
 def database(folder):
     connection = duckdb.connect()
     for file in Path(folder).glob("*.parquet"):
-        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        source = f"{file}/*.parquet" if file.is_dir() else file
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{source}'")
     return connection
 
 

@@ -1,0 +1,120 @@
+"""Column expressions against plain Python."""
+
+from datetime import date
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from jobtide.codes import COARSE_PHASES, DEFAULT_CODEBOOK, FINE_PHASES, SECTOR, phase_order
+from jobtide.functions import numbers, periods, text
+from jobtide.functions.lookup import decode, rank_in
+
+
+def apply(spark, expression, values, kind="string"):
+    rows = [(i, value) for i, value in enumerate(values)]
+    table = spark.createDataFrame(rows, f"i int, x {kind}")
+    result = table.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()
+    return [row.y for row in result]
+
+
+def test_title_case_is_pythons(spark):
+    names = ["SÃO PAULO", "d'aliança", "centro-oeste", "4-NOT SPECIFIED", "a1b2", "", "x (y)/z", "MOJI-GUAÇU"]
+    assert apply(spark, text.title_case, names) == [name.title() for name in names]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text("abçÃÉ 'x-1.\t/", max_size=12), min_size=1, max_size=40))
+def test_title_case_on_random_names(spark, names):
+    assert apply(spark, lambda c: text.title_case(text.strip(c)), names) == [
+        name.strip().title() for name in names
+    ]
+
+
+def test_strip_removes_every_white_space(spark):
+    values = ["\t a b \n", " x　", "", None, "y"]
+    assert apply(spark, text.strip, values) == ["a b", "x", "", None, "y"]
+
+
+def test_municipality_key(spark):
+    codes = ["355030", "3550308", "12", "", None]
+    assert apply(spark, text.municipality_key, codes) == ["355030", "355030", "000012", "000000", None]
+    assert apply(spark, lambda c: text.municipality_key(c, 19), [1234567, 7], "bigint") == [
+        "0000000000001234567",
+        "0000000000000000007",
+    ]
+
+
+def test_to_number(spark):
+    values = ["1", "1.0", " -1 ", "1,5", "x", "", None, "1d", "2f", "1e3", ".5", "5.", "0x10", "NaN", "inf", "1 2"]
+    expected = [1.0, 1.0, -1.0, None, None, None, None, None, None, 1000.0, 0.5, 5.0, None, None, float("inf"), None]
+    assert apply(spark, numbers.to_number, values) == expected
+
+
+def test_round_half_even(spark):
+    values = [0.25, 0.35, 12.45, -0.25, 1.05, 2.0, None]
+    assert apply(spark, numbers.round_half_even, values, "double") == [0.2, 0.4, 12.4, -0.2, 1.0, 2.0, None]
+
+
+def test_percent_change(spark):
+    pairs = [(100, 150), (-50, 50), (0, 7), (200, 199), (8, 9)]
+    table = spark.createDataFrame(pairs, "a bigint, b bigint")
+    rows = table.select(numbers.percent_change(F.col("a"), F.col("b")).alias("y")).collect()
+    assert [row.y for row in rows] == [50.0, 200.0, 700.0, -0.5, 12.5]
+
+
+def test_labels(spark):
+    assert apply(spark, numbers.signed_percent, [12.34, -0.5, 0.0], "double") == ["+12.3%", "-0.5%", "+0.0%"]
+    assert apply(spark, numbers.signed_thousands, [1234567, -1234, 0], "bigint") == ["+1,234,567", "-1,234", "0"]
+    assert apply(spark, numbers.is_gain, [0, 1, -1], "bigint") == [True, True, False]
+
+
+def test_parse_month(spark):
+    values = ["202001", " 202002 ", "202013", "202000", "20201", "2020011", "2020-1", "", None, "x", "20201 ", " 20201"]
+    expected = [date(2020, 1, 1), date(2020, 2, 1)] + [None] * 10
+    assert apply(spark, periods.parse_month, values) == expected
+
+
+def test_quarter_and_season(spark):
+    months = list(range(1, 13)) + [None]
+    quarters = apply(spark, periods.quarter_label, months, "int")
+    assert quarters == [f"T{(m - 1) // 3 + 1}" for m in range(1, 13)] + [None]
+    seasons = apply(spark, periods.season, months, "int")
+    assert seasons[0] == seasons[2] == "Jan-Mar" and seasons[11] == "Out-Dez"
+    assert seasons[12] == "Não informado"
+
+
+@pytest.mark.parametrize(
+    "year, month, fine, coarse",
+    [
+        (2020, 6, "Pandemia aguda", "Pandemia (2020)"),
+        (2020, 7, "Pandemia inicial", "Pandemia (2020)"),
+        (2021, 1, "Pandemia tardia", "Pandemia tardia"),
+        (2022, 5, "Recuperação", "Recuperação"),
+        (2023, 12, "Normalização", "Normalização"),
+        (2024, 1, "Expansão pós-pandemia", "Expansão pós-pandemia"),
+        (2019, 3, "Expansão pós-pandemia", "Expansão pós-pandemia"),
+        (None, None, "Expansão pós-pandemia", "Expansão pós-pandemia"),
+    ],
+)
+def test_phase(spark, year, month, fine, coarse):
+    table = spark.createDataFrame([(year, month)], "a int, m int")
+    a, m = F.col("a"), F.col("m")
+    row = table.select(
+        periods.phase(a, m, FINE_PHASES, 2020), periods.phase(a, m, COARSE_PHASES, 2020)
+    ).first()
+    assert tuple(row) == (fine, coarse)
+
+
+def test_decode_and_rank(spark):
+    assert apply(spark, lambda c: decode(c, SECTOR, "?"), ["G", "Z", None]) == ["Comércio", "?", "?"]
+    assert apply(spark, lambda c: decode(c, SECTOR), ["U", "Z"]) == ["Organismos internacionais", None]
+    order = phase_order(FINE_PHASES)
+    assert apply(spark, lambda c: rank_in(c, order), [order[0], order[5], "x"]) == [0, 5, None]
+
+
+def test_codebook_values():
+    assert len(DEFAULT_CODEBOOK.valid_ufs) == 27
+    assert DEFAULT_CODEBOOK.schooling_code["Analfabeto"] == 0
+    assert DEFAULT_CODEBOOK.schooling_code["Doutorado"] == 8
