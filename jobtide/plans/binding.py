@@ -157,11 +157,11 @@ class Tables:
         """Valid movements with derived columns."""
         return derive(self.cleaned(sector), BOOK)
 
-    def movements_with_order_code(self) -> DataFrame:
+    def movements_with_order_code(self, months: Column | None = None) -> DataFrame:
         """Movements in the stored form: month as text, municipality as text code."""
         orders = broadcast_if_small(self.orders_with_code(), self.orders)
-        lines = self.lines().join(orders, "l_orderkey", "left")
-        return lines.select(
+        lines = self.lines() if months is None else self.lines().where(months)
+        return lines.join(orders, "l_orderkey", "left").select(
             F.date_format("ano_mes", "yyyyMM").alias("ano_mes"),
             zero_fill(F.col("cod_municipio").cast("string"), 6).alias("cod_municipio"),
             "tipo_mov",

@@ -184,13 +184,23 @@ def decoded_rows(t: Tables) -> DataFrame:
 
 
 def enriched_rows(t: Tables) -> DataFrame:
-    """Matched and unmatched movements per UF, joined on zero-filled text codes."""
+    """Matched and unmatched movements per UF, joined on zero-filled text codes.
+
+    Movements are counted per code before the join, so a municipality that holds a
+    large share of them is one row there.
+    """
     municipalities = t.municipalities().where("sigla_uf IS NOT NULL")
-    joined = join_municipality(t.movements_with_order_code(), municipalities, whole_code)
+    codes = t.movements_with_order_code().groupBy("cod_municipio").agg(F.count("*").alias("vezes"))
+    joined = join_municipality(codes, municipalities, whole_code)
+    matched = F.col("nome_municipio").isNotNull()
+
+    def total(rows):
+        return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
+
     return joined.groupBy("sigla_uf_ibge", "nome_uf", "regiao").agg(
-        F.count("*").alias("registros"),
-        F.count("nome_municipio").alias("com_municipio"),
-        F.count_if(F.col("nome_municipio").isNull()).alias("sem_municipio"),
+        total(F.col("vezes")).alias("registros"),
+        total(F.when(matched, F.col("vezes"))).alias("com_municipio"),
+        total(F.when(~matched, F.col("vezes"))).alias("sem_municipio"),
     )
 
 
@@ -426,18 +436,25 @@ def delimited_months(t: Tables) -> DataFrame:
 
 
 def incremental_month(t: Tables) -> DataFrame:
-    """Monthly balance refreshed twice: after the first arrivals and after the rest."""
+    """Monthly balance refreshed twice: after the first arrivals and after the rest.
+
+    Movements that agree in month, municipality and code are counted before the
+    join to the municipality.
+    """
     folder = shared_folder(t.spark, "chegadas")
     municipalities = t.municipalities()
-    rows = conform_stored(t.movements_with_order_code())
-    first = F.substring("ano_mes", 1, 4).cast("int") < LAST_ARRIVAL_YEAR
+    same = ("ano_mes", "cod_municipio", "tipo_mov")
 
     def prepare(arrivals: DataFrame) -> DataFrame:
-        dated = add_balance(add_period(arrivals))
+        counted = arrivals.groupBy(*same).agg(F.count("*").alias("vezes"))
+        dated = add_balance(add_period(counted))
         placed = join_municipality(dated, municipalities, whole_code)
-        return clean(placed, BOOK, names_are_tidy=True)
+        cleaned = clean(placed, BOOK, names_are_tidy=True)
+        return cleaned.withColumn("saldo", F.col("saldo") * F.col("vezes"))
 
-    for number, arrived in enumerate((rows.where(first), rows.where(~first))):
+    early = F.coalesce(F.col("ano_mes") < f"{LAST_ARRIVAL_YEAR}-01-01", F.lit(True))
+    for number, months in enumerate((early, ~early)):
+        arrived = conform_stored(t.movements_with_order_code(months))
         write_once(arrived, f"{folder}/movimentos/chegada={number}")
         refresh_monthly(
             t.spark, f"{folder}/movimentos", f"{folder}/posicao", f"{folder}/saldo", prepare

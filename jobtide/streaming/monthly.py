@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from jobtide.operators.aggregate import balance_by
 from jobtide.schemas import MOVEMENTS
@@ -17,23 +16,27 @@ def refresh_monthly(
     checkpoint: str,
     out: str,
     prepare: Callable[[DataFrame], DataFrame],
+    columns: tuple[str, ...] = ("ano_mes", "cod_municipio", "tipo_mov"),
 ) -> None:
     """Process the movement files that arrived since the last call.
 
-    ``prepare`` turns stored movements into cleaned rows. The state is one sum
-    per month and no watermark drops late rows, because a correction may touch
-    any past month. Each batch writes the months it changed under its own batch
-    number, so a batch that is run again replaces its own output.
+    ``prepare`` turns stored movements, of which ``columns`` are read, into cleaned
+    rows. Sums can be added, so a batch stores just its own sum per month, under
+    its batch number: no state is held, no row is too late, a correction may touch
+    any past month, and a batch that is run again replaces its own output.
     """
-    arrivals = spark.readStream.schema(MOVEMENTS).parquet(source)
-    sums = balance_by(prepare(arrivals), "ano", "mes", "ano_mes")
 
-    def store(changed: DataFrame, batch: int) -> None:
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{out}/lote={batch}")
+    def store(batch: DataFrame, number: int) -> None:
+        # A stream runs without AQE; a batch of it needs AQE to split hot keys.
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        sums = balance_by(prepare(batch), "ano", "mes", "ano_mes")
+        sums.coalesce(1).write.mode("overwrite").parquet(f"{out}/lote={number}")
 
     (
-        sums.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        spark.readStream.schema(MOVEMENTS)
+        .parquet(source)
+        .select(*columns)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(store)
         .start()
@@ -42,10 +45,6 @@ def refresh_monthly(
 
 
 def current_monthly(spark: SparkSession, out: str) -> DataFrame:
-    """The newest sum of every month."""
-    return (
-        spark.read.schema("ano int, mes int, ano_mes date, saldo bigint, lote bigint")
-        .parquet(out)
-        .groupBy("ano", "mes", "ano_mes")
-        .agg(F.max_by("saldo", "lote").alias("saldo"))
-    )
+    """Sum of every month over all batches."""
+    batches = spark.read.schema("ano int, mes int, ano_mes date, saldo bigint, lote bigint").parquet(out)
+    return balance_by(batches, "ano", "mes", "ano_mes")
