@@ -25,6 +25,14 @@ def balance_by(table: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def balance_by_month(table: DataFrame) -> DataFrame:
+    """Sum of ``saldo`` per month. Year and month follow from the date, so only it is grouped."""
+    sums = balance_by(table, "ano_mes")
+    return sums.select(
+        F.year("ano_mes").alias("ano"), F.month("ano_mes").alias("mes"), "ano_mes", "saldo"
+    )
+
+
 def base_cube(table: DataFrame, *keys: str) -> DataFrame:
     """Finest sums, NULL keys kept, from which coarser sums are rolled up."""
     return table.groupBy(*(keys or CUBE_KEYS)).agg(F.sum("saldo").cast("bigint").alias("saldo"))

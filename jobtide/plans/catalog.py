@@ -18,7 +18,13 @@ from jobtide.functions.periods import (
     year_quarter_label,
 )
 from jobtide.functions.text import strip, title_case
-from jobtide.operators.aggregate import balance_by, base_cube, outer_balance, rollups
+from jobtide.operators.aggregate import (
+    balance_by,
+    balance_by_month,
+    base_cube,
+    outer_balance,
+    rollups,
+)
 from jobtide.operators.clean import clean, null_profile, reject_reason, reject_report
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
 from jobtide.operators.filters import in_years
@@ -43,7 +49,7 @@ LAST_ARRIVAL_YEAR = 2000
 
 
 def _monthly(t: Tables) -> DataFrame:
-    return moving_average(balance_by(t.cleaned(), "ano", "mes", "ano_mes"))
+    return moving_average(balance_by_month(t.cleaned()))
 
 
 def _by_uf(t: Tables) -> DataFrame:
@@ -63,7 +69,7 @@ def _by_municipality(t: Tables) -> DataFrame:
 
 
 def _by_month(t: Tables) -> DataFrame:
-    return balance_by(t.cleaned(), "ano", "mes")
+    return balance_by_month(t.cleaned()).drop("ano_mes")
 
 
 def monthly_balance(t: Tables) -> DataFrame:
@@ -142,7 +148,7 @@ def phase_kpis(t: Tables) -> DataFrame:
 
 
 def first_years_zoom(t: Tables) -> DataFrame:
-    monthly = balance_by(t.cleaned(), "ano", "mes", "ano_mes")
+    monthly = balance_by_month(t.cleaned())
     return views.months_of(monthly, list(range(FIRST_YEAR - 1, FIRST_YEAR + 3)))
 
 

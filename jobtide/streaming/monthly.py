@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.operators.aggregate import balance_by
+from jobtide.operators.aggregate import balance_by, balance_by_month
 from jobtide.schemas import MOVEMENTS
 
 
@@ -29,7 +29,7 @@ def refresh_monthly(
     def store(batch: DataFrame, number: int) -> None:
         # A stream runs without AQE; a batch of it needs AQE to split hot keys.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
-        sums = balance_by(prepare(batch), "ano", "mes", "ano_mes")
+        sums = balance_by_month(prepare(batch))
         sums.coalesce(1).write.mode("overwrite").parquet(f"{out}/lote={number}")
 
     (
