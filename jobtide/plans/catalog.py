@@ -127,7 +127,7 @@ def sector_growth(t: Tables) -> DataFrame:
 
 
 def schooling_year_pair(t: Tables) -> DataFrame:
-    """First year's hirings-minus-dismissals beside the last year's, by schooling and sex."""
+    """Balance by schooling in the first and in the last year, by full outer join."""
     by_year = balance_by(t.cleaned(), "ano", "escolaridade")
     first = by_year.where(F.col("ano") == FIRST_YEAR)
     last = by_year.where(F.col("ano") == LAST_YEAR)
@@ -166,9 +166,8 @@ def null_profile_query(t: Tables) -> DataFrame:
 
 def decoded_rows(t: Tables) -> DataFrame:
     """Labels and numeric codes per combination of raw codes; the fact is grouped first."""
-    orders = t.orders_with_code().select("l_orderkey", "escolaridade")
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("secao"))
-    raw = t.lines().join(orders, "l_orderkey", "left").join(part, "l_partkey", "left")
+    raw = t.lines_with_code().join(part, "l_partkey", "left")
     codes = raw.groupBy("sexo", "escolaridade", "secao", "tipo_mov").agg(
         F.count("*").alias("registros")
     )
@@ -256,18 +255,14 @@ def fixed_sample_query(t: Tables) -> DataFrame:
 
 
 def missing_months(t: Tables) -> DataFrame:
-    """(month, municipality) pairs that occur in the raw fact but have no accepted row.
+    """(month, municipality) pairs that occur in the raw fact but have no valid movement.
 
-    The anti-join of the pairs with the accepted pairs, folded into one
-    aggregation: a pair is missing if none of its rows is accepted.
+    The anti-join of the pairs with the valid pairs, folded into one aggregation: a
+    pair is missing if none of its rows is valid.
     """
-    reason = reject_reason(F.col("sigla_uf_ibge"), F.col("tipo_mov"), BOOK)
-    pairs = t.integrated().groupBy("ano_mes", "cod_municipio")
-    return (
-        pairs.agg(F.count("*").alias("registros"), F.count_if(reason.isNull()).alias("_aceitos"))
-        .where("_aceitos = 0")
-        .drop("_aceitos")
-    )
+    valid = F.count_if(F.col("tipo_mov").isin(*MOVEMENT)).alias("_validos")
+    pairs = t.lines_with_code().groupBy("ano_mes", "cod_municipio")
+    return pairs.agg(F.count("*").alias("registros"), valid).where("_validos = 0").drop("_validos")
 
 
 def missing_files_query(t: Tables) -> DataFrame:
@@ -416,7 +411,7 @@ def transformed_profile(t: Tables) -> DataFrame:
 
 
 def delimited_months(t: Tables) -> DataFrame:
-    """The fact written as two delimited files sets of different columns, and read back."""
+    """The fact written as two sets of delimited files with different columns, and read back."""
     folder = shared_folder(t.spark, "texto")
     rows = t.movements_with_order_code()
     male = rows.where("sexo = 'O'").select(

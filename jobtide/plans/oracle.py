@@ -319,11 +319,11 @@ ORDER BY md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VA
 LIMIT 1000
 """,
     "missing_months": """
-SELECT ano_mes, cod_municipio, (SELECT count(*) FROM julgado j
+SELECT ano_mes, cod_municipio, (SELECT count(*) FROM integrado j
          WHERE j.ano_mes IS NOT DISTINCT FROM f.ano_mes
            AND j.cod_municipio IS NOT DISTINCT FROM f.cod_municipio) AS registros
-FROM (SELECT ano_mes, cod_municipio FROM julgado
-      EXCEPT SELECT ano_mes, cod_municipio FROM limpo) f
+FROM (SELECT ano_mes, cod_municipio FROM integrado
+      EXCEPT SELECT ano_mes, cod_municipio FROM integrado WHERE tipo_mov IN (1, -1)) f
 """,
     "missing_files": """
 SELECT upper(nome) AS stem, nome || '.7z' AS nome, upper(nome) || '.parquet' AS arquivo_saida,

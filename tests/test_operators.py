@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 from datetime import date
+from hashlib import md5
 
 from pyspark.sql import functions as F
 
@@ -106,6 +107,19 @@ def test_fixed_sample(spark):
     assert ranking.fixed_sample(table, 900).count() == 500
 
 
+def test_fixed_sample_with_many_copies_matches_brute_force(spark):
+    data = [("copy", 1)] * 700 + [(f"r{i}", i) for i in range(1400)]
+    table = spark.createDataFrame(data, "x string, y int").repartition(8)
+
+    def place(row):
+        return md5(f"{row[0]}|{row[1]}|42".encode()).hexdigest(), *row
+
+    in_order = sorted(data, key=place)
+    first_copy = next(i for i, row in enumerate(in_order) if row[0] == "copy")
+    for n in (1, 30, first_copy + 5, first_copy + 699, 2100):
+        assert rows(ranking.fixed_sample(table, n), "x", "y") == sorted(in_order[:n])
+
+
 def test_unknown_categories_sort_last(spark):
     order = phase_order(FINE_PHASES)
     table = spark.createDataFrame([(name,) for name in ["zzz", *reversed(order)]], "fase string")
