@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.codes import COARSE_PHASES, DEFAULT_CODEBOOK, FINE_PHASES, MOVEMENT
+from jobtide.codes import COARSE_PHASES, FINE_PHASES, MOVEMENT
 from jobtide.codes import NOT_IDENTIFIED, NOT_INFORMED
 from jobtide.functions.lookup import decode
-from jobtide.functions.numbers import is_gain, to_number
+from jobtide.functions.numbers import to_number
 from jobtide.functions.periods import (
     parse_month,
     phase,
@@ -27,7 +27,6 @@ from jobtide.operators.aggregate import (
 )
 from jobtide.operators.clean import clean, null_profile, reject_reason, reject_report
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
-from jobtide.operators.filters import in_years
 from jobtide.operators.ranking import fixed_sample, top_bottom
 from jobtide.operators.series import growth, min_max, moving_average
 from jobtide.operators.shape import domains
@@ -128,7 +127,7 @@ def sector_growth(t: Tables) -> DataFrame:
 
 def schooling_year_pair(t: Tables) -> DataFrame:
     """Balance by schooling in the first and in the last year, by full outer join."""
-    by_year = balance_by(t.cleaned(), "ano", "escolaridade")
+    by_year = materialise(balance_by(t.cleaned(), "ano", "escolaridade"), "escolaridade")
     first = by_year.where(F.col("ano") == FIRST_YEAR)
     last = by_year.where(F.col("ano") == LAST_YEAR)
     return outer_balance(first, last, "escolaridade")

@@ -30,7 +30,7 @@ def refresh_monthly(
         # A stream runs without AQE; a batch of it needs AQE to split hot keys.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         sums = balance_by_month(prepare(batch))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{out}/lote={number}")
+        sums.write.mode("overwrite").parquet(f"{out}/lote={number}")
 
     (
         spark.readStream.schema(MOVEMENTS)

@@ -39,6 +39,20 @@ def test_refresh_equals_batch(spark, tmp_path):
     assert set(spark.read.parquet(out).inputFiles()) == files
 
 
+def test_batches_run_with_adaptive_execution(spark, tmp_path):
+    source, state, out = (str(tmp_path / name) for name in ("mov", "pos", "saldo"))
+    rows = spark.createDataFrame([("202001", 1.0)], "ano_mes string, tipo_mov double")
+    conform_stored(rows).write.parquet(source)
+    plans = []
+
+    def spy(batch):
+        plans.append(batch.groupBy("ano_mes").count()._jdf.queryExecution().executedPlan().toString())
+        return prepare(batch)
+
+    refresh_monthly(spark, source, state, out, spy)
+    assert len(plans) == 1 and "AdaptiveSparkPlan" in plans[0]
+
+
 def test_shared_folder_is_below_the_checkpoint_folder(spark):
     def session(**settings):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))

@@ -9,7 +9,7 @@ from jobtide.plans.binding import Tables
 from jobtide.operators.joins import broadcast_if_small
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"delimited_months", "incremental_month", "missing_files"}
+EAGER = {"delimited_months", "incremental_month", "missing_files", "schooling_year_pair"}
 LAZY = sorted(set(contract.queries()) - EAGER)
 
 

@@ -6,6 +6,8 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.operators.clean import clean
+from jobtide.operators.enrich import integrate
 from jobtide.plans.stages import build_tables, ingest_missing, store_municipalities
 from jobtide.schemas import MOVEMENTS, SOURCE_FILE
 from jobtide.sources.raw import read_raw, read_raw_month
@@ -222,6 +224,17 @@ def test_write_once_skips_complete_and_replaces_torn(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_second_build_makes_nothing_again(spark, raw, tmp_path):
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in tmp_path.rglob("*") if f.is_file()}
+
+    paths = [str(raw / "MOVS202001.txt"), str(raw / "MOVS202101.txt")]
+    build_tables(spark, paths, str(raw / "municipios.json"), str(tmp_path))
+    before = files()
+    build_tables(spark, paths, str(raw / "municipios.json"), str(tmp_path))
+    assert files() == before
+
+
 def test_duplicate_municipality_fails(spark, tmp_path):
     (tmp_path / "m.json").write_text(json.dumps([PLACES[0], PLACES[0]]), encoding="utf-8")
     with pytest.raises(ValueError):
@@ -242,3 +255,10 @@ def test_parts_combine_by_name_and_are_counted(spark, tmp_path):
 def test_year_filter_prunes_partitions(tables):
     plan = tables["transformado"].where("ano = 2021")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ano" in plan
+
+
+def test_rules_reach_both_scans(tables):
+    cleaned = clean(integrate(tables["movimentos"], tables["municipios"]))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "In(tipo_mov, [-1.0,1.0])" in plan and "In(sigla_uf, [AC," in plan
+    assert "BroadcastHashJoin" in plan and "Inner" in plan
