@@ -20,7 +20,7 @@ from jobtide.functions.text import municipality_key, strip, title_case, zero_fil
 from jobtide.operators.clean import clean
 from jobtide.operators.derive import derive
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
-from jobtide.operators.joins import broadcast_if_small
+from jobtide.operators.sizing import broadcast_if_small
 from jobtide.sources.municipalities import tidy
 
 NO_UF_NATION = 24

@@ -27,6 +27,7 @@ from jobtide.operators.aggregate import (
 )
 from jobtide.operators.clean import clean, null_profile, reject_reason, reject_report
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
+from jobtide.operators.sizing import size_shuffles
 from jobtide.operators.ranking import fixed_sample, top_bottom
 from jobtide.operators.series import growth, min_max, moving_average
 from jobtide.operators.shape import domains
@@ -513,4 +514,6 @@ QUERIES = {
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """Result of a registered query over the tables in ``folder``."""
-    return QUERIES[name](Tables(spark, folder))
+    tables = Tables(spark, folder)
+    size_shuffles(tables.lineitem)
+    return QUERIES[name](tables)

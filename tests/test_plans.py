@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from compare import database, differences
 from skew import write_skewed
 from jobtide.plans.binding import Tables
-from jobtide.operators.joins import broadcast_if_small
+from jobtide.operators import sizing
 
 FOLDER = "/root/testdata/sf0.001"
 EAGER = {"delimited_months", "incremental_month", "missing_files", "schooling_year_pair"}
@@ -33,17 +33,31 @@ def test_flag_filter_and_columns_reach_the_scan(spark):
 
 def test_dimensions_are_broadcast_only_below_the_threshold(spark):
     tables = Tables(spark, FOLDER)
-    small = broadcast_if_small(tables.customer, tables.customer)
+    small = sizing.broadcast_if_small(tables.customer, tables.customer)
     assert "Hint broadcast" in small._jdf.queryExecution().logical().toString()
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
-        large = broadcast_if_small(tables.customer, tables.customer)
+        large = sizing.broadcast_if_small(tables.customer, tables.customer)
         assert "Hint broadcast" not in large._jdf.queryExecution().logical().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_shuffles_grow_with_the_input(spark, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    fact = Tables(spark, FOLDER).lineitem
+    sizing.size_shuffles(fact)
+    assert spark.conf.get(key, None) is None
+    monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 1024)
+    try:
+        sizing.size_shuffles(fact)
+        assert int(spark.conf.get(key)) == sizing.file_bytes(fact) // 1024
+        assert differences(spark, FOLDER, "monthly_balance", database(FOLDER)) == []
+    finally:
+        spark.conf.unset(key)
+
+
 @pytest.fixture
 def large_table_joins(spark):
     """Every table counts as too large to broadcast, every partition as skewed."""
