@@ -157,15 +157,15 @@ class Tables:
         """Valid movements with derived columns."""
         return derive(self.cleaned(sector), BOOK)
 
-    def lines_with_code(self, months: Column | None = None) -> DataFrame:
-        """Movements, of the chosen months if any, with what their order says about them."""
+    def lines_with_code(self, chosen: Column | None = None) -> DataFrame:
+        """Movements, the chosen ones if any, with what their order says about them."""
         orders = broadcast_if_small(self.orders_with_code(), self.orders)
-        lines = self.lines() if months is None else self.lines().where(months)
+        lines = self.lines() if chosen is None else self.lines().where(chosen)
         return lines.join(orders, "l_orderkey", "left")
 
-    def movements_with_order_code(self, months: Column | None = None) -> DataFrame:
+    def movements_with_order_code(self, chosen: Column | None = None) -> DataFrame:
         """Movements in the stored form: month as text, municipality as text code."""
-        return self.lines_with_code(months).select(
+        return self.lines_with_code(chosen).select(
             F.date_format("ano_mes", "yyyyMM").alias("ano_mes"),
             zero_fill(F.col("cod_municipio").cast("string"), 6).alias("cod_municipio"),
             "tipo_mov",

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.codes import COARSE_PHASES, FINE_PHASES, MOVEMENT
-from jobtide.codes import NOT_IDENTIFIED, NOT_INFORMED
+from jobtide.codes import COARSE_PHASES, FINE_PHASES, MOVEMENT, NOT_IDENTIFIED, NOT_INFORMED
 from jobtide.functions.lookup import decode
 from jobtide.functions.numbers import to_number
 from jobtide.functions.periods import (
@@ -27,10 +26,10 @@ from jobtide.operators.aggregate import (
 )
 from jobtide.operators.clean import clean, null_profile, reject_reason, reject_report
 from jobtide.operators.enrich import add_balance, add_period, decode_labels, join_municipality
-from jobtide.operators.sizing import size_shuffles
 from jobtide.operators.ranking import fixed_sample, top_bottom
 from jobtide.operators.series import growth, min_max, moving_average
 from jobtide.operators.shape import domains
+from jobtide.operators.sizing import size_shuffles
 from jobtide.plans import views
 from jobtide.plans.binding import BOOK, FIRST_YEAR, LAST_YEAR, Tables, whole_code
 from jobtide.schemas import MOVEMENTS, MUNICIPALITY_JSON
@@ -413,17 +412,16 @@ def transformed_profile(t: Tables) -> DataFrame:
 def delimited_months(t: Tables) -> DataFrame:
     """The fact written as two sets of delimited files with different columns, and read back."""
     folder = shared_folder(t.spark, "texto")
-    rows = t.movements_with_order_code()
-    male = rows.where("sexo = 'O'").select(
+    male = t.movements_with_order_code(F.col("sexo") == "O").select(
         F.col("ano_mes").alias("competênciamov"),
         F.col("cod_municipio").alias("município"),
         F.col("tipo_mov").alias("saldomovimentação"),
         F.col("sexo").alias("sexotrabalhador"),
     )
-    other = rows.where("sexo <> 'O' OR sexo IS NULL").select(
+    other = t.lines().where("sexo <> 'O' OR sexo IS NULL").select(
         F.col("salario").alias("coluna_nova"),
         F.col("tipo_mov").alias("saldomovimentação"),
-        F.col("ano_mes").alias("competênciamov"),
+        F.date_format("ano_mes", "yyyyMM").alias("competênciamov"),
     )
     for name, part in (("a", male), ("b", other)):
         part.write.csv(f"{folder}/{name}", sep=";", header=True)
