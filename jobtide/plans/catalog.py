@@ -332,17 +332,19 @@ def parse_movement_codes(t: Tables) -> DataFrame:
     year_and_number = F.concat(
         F.year("l_shipdate").cast("string"), F.lpad(F.col("l_quantity").cast("int"), 2, "0")
     )
-    of_orders = {
-        "prioridade": to_number(priority),
-        "prioridade_inicial": to_number(F.substring(priority, 1, 1)),
-    }
-    of_lines = {
-        "quantidade": to_number(F.col("l_quantity").cast("string")),
-        "competencia": F.month(parse_month(year_and_number)).cast("double"),
-    }
+    order_texts = t.orders.select(
+        priority.alias("prioridade"), F.substring(priority, 1, 1).alias("prioridade_inicial")
+    )
+    line_texts = t.lineitem.select(
+        F.col("l_quantity").cast("string").alias("quantidade"),
+        year_and_number.alias("competencia"),
+    )
 
-    def counts(table: DataFrame, fields: dict) -> DataFrame:
-        parsed = table.select(*[value.alias(name) for name, value in fields.items()])
+    def month_number(text):
+        return F.month(parse_month(text)).cast("double")
+
+    def counts(texts: DataFrame, fields: dict) -> DataFrame:
+        parsed = texts.select(*[parse(F.col(name)).alias(name) for name, parse in fields.items()])
         per_field = [
             F.struct(
                 F.lit(name).alias("campo"),
@@ -354,7 +356,12 @@ def parse_movement_codes(t: Tables) -> DataFrame:
         ]
         return parsed.agg(F.array(*per_field).alias("campos")).select(F.inline("campos"))
 
-    return union_months([counts(t.orders, of_orders), counts(t.lineitem, of_lines)])
+    return union_months(
+        [
+            counts(order_texts, {"prioridade": to_number, "prioridade_inicial": to_number}),
+            counts(line_texts, {"quantidade": to_number, "competencia": month_number}),
+        ]
+    )
 
 
 def flatten_nested(t: Tables) -> DataFrame:
