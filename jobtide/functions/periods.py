@@ -11,10 +11,14 @@ from jobtide.functions.text import strip
 
 
 def parse_month(text: Column) -> Column:
-    """``yyyyMM`` as the first day of that month, NULL where it is no month."""
-    month = F.when(F.length(text) == 6, text).otherwise(strip(text))
-    day = F.concat(F.substring(month, 1, 4), F.lit("-"), F.substring(month, 5, 2), F.lit("-01"))
-    return F.when(F.length(month) == 6, day.try_cast("date"))
+    """``yyyyMM`` as the first day of that month, NULL where it is no month.
+
+    Impossible months are told apart by comparison first: a failing cast is slow.
+    """
+    digits = F.when(F.length(text) == 6, text).otherwise(strip(text))
+    year, month = F.substring(digits, 1, 4), F.substring(digits, 5, 2)
+    possible = (F.length(digits) == 6) & month.between("01", "12")
+    return F.when(possible, F.concat(year, F.lit("-"), month, F.lit("-01")).try_cast("date"))
 
 
 def quarter_label(month: Column) -> Column:
