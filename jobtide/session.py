@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,12 +32,24 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors are one machine, may go without that setting.
+    It lies below ``spark.checkpoint.dir`` or, where that is unset, below the
+    warehouse, which driver and executors share as well. The folder goes when the
+    session's file system is closed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="jobtide-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
+    return path
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder deleted when the application ends; a Connect session leaves it to its server."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
