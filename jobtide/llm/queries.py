@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import packing, token_counts
+from jobtide.llm import grades, line_rules, packing, pieces, token_counts
 from jobtide.llm.frames import table
 
 
@@ -31,9 +31,44 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line and document rules over all documents."""
+    return line_rules.clean_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "n_lines",
+        "n_lines_removed",
+    )
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents."""
+    return pieces.encode_pieces(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        "n_byte_pieces",
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of all documents, learned from the labels."""
+    docs = table(spark, sf_dir, "documents")
+    return grades.score(docs, grades.train(docs, grades.graded(table(spark, sf_dir, "labels"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op5_sentencepiece": op5_sentencepiece,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {}
