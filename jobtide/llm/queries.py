@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import grades, line_rules, packing, pieces, token_counts
+from jobtide.llm import grades, line_rules, packing, pieces, simhash, token_counts
 from jobtide.llm.frames import table
 
 
@@ -57,6 +57,13 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hexadecimal("fingerprint").alias("fingerprint"), "component_id"
+    )
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade of all documents, learned from the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -68,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_simhash": op7_simhash,
     "op8_quality_classifier": op8_quality_classifier,
 }
 
