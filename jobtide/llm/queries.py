@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import grades, line_rules, packing, pieces, simhash, token_counts
+from jobtide.llm import grades, line_rules, packing, pieces, simhash, suffixes, token_counts
 from jobtide.llm.frames import table
 
 
@@ -70,6 +70,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grades.score(docs, grades.train(docs, grades.graded(table(spark, sf_dir, "labels"))))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document repeats of smaller ones, in strings of 50 bytes."""
+    return suffixes.removals(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_quality_rules": op3_quality_rules,
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash": op7_simhash,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
