@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import grades, line_rules, packing, pieces, simhash, suffixes, token_counts
+from jobtide.llm import grades, language, line_rules, packing, pieces, simhash, suffixes, token_counts
 from jobtide.llm.frames import table
 
 
@@ -57,6 +57,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those not held out."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of all documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
