@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import grades, language, line_rules, packing, pieces, simhash, suffixes, token_counts
+from jobtide.llm import captures, grades, language, line_rules, packing, pieces, simhash, suffixes, token_counts
 from jobtide.llm.frames import table
 
 
@@ -82,6 +82,13 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives, as the index of the archives has them."""
+    return captures.archive_and_index(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_quality_rules": op3_quality_rules,
@@ -91,6 +98,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH payloads AS (
+            SELECT page_id,
+                   strlen(coalesce(html, '')) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT payload_digest, min(page_id) AS first_id FROM payloads GROUP BY payload_digest
+        ), joined AS (
+            SELECT *, payload_bytes >= 100 AND first_id IS NOT NULL
+                      AND page_id IS DISTINCT FROM first_id AS again
+            FROM payloads JOIN firsts USING (payload_digest)
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to
+        FROM joined
+    """,
+}
