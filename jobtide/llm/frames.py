@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +28,6 @@ def pick(df: DataFrame, **kinds: str) -> DataFrame:
     return plain.select(*out)
 
 
-def replace_columns(df: DataFrame, extra: DataFrame, key: str, **new: str) -> DataFrame:
-    """`df` inner-joined to `extra` on `key`, its columns named in `new` taken from `extra`."""
-    joined = df.join(extra, key)
-    return joined.select(
-        *[F.col(new[c]).alias(c) if c in new else df[c] for c in df.columns]
-    )
-
-
 def stored(df: DataFrame, label: str, *keys: str) -> DataFrame:
     """`df` written as Parquet below the shared folder and read again, which cuts its lineage."""
     spark = df.sparkSession
@@ -53,3 +47,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def utf8(value: str | None) -> bytes:
     """A text's bytes; null is empty."""
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
+
+
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """`df` stored in `buckets` buckets of `key`, so that grouping by the key shuffles it no more."""
+    spark = df.sparkSession
+    name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, key)
+        .write.bucketBy(buckets, key)
+        .option("path", shared_folder(spark, label))
+        .mode("overwrite")
+        .saveAsTable(name)
+    )
+    return spark.table(name)

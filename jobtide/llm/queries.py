@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import captures, grades, language, line_rules, packing, pieces, simhash, suffixes, token_counts
+from jobtide.llm import captures, grades, language, line_rules, neighbours, packing, pieces, simhash, suffixes, token_counts
 from jobtide.llm.frames import table
 
 
@@ -31,6 +31,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest neighbours of every hundredth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line and document rules over all documents."""
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).select(
@@ -91,6 +96,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_neighbours": op2_neighbours,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_sentencepiece": op5_sentencepiece,
