@@ -161,6 +161,27 @@ def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings())
     return stored(model, "grades-model")
 
 
+class Model:
+    """A trained model on the driver: at most `buckets` weights of 8 bytes, shared once with each executor."""
+
+    def __init__(self, model: DataFrame, settings: Settings) -> None:
+        rows = model.orderBy("kind", "number").toPandas()
+        cuts = rows[rows["kind"] == "cut"]
+        learned = rows[rows["kind"] == "weight"]
+        weights = np.zeros(settings.buckets)
+        weights[learned["number"].to_numpy(np.int64)] = learned["value"].to_numpy()
+        self.shared = model.sparkSession.sparkContext.broadcast(weights)
+        self.cuts = cuts["value"].to_numpy(float)
+        least = rows[rows["kind"] == "least"]["number"].to_numpy(float)
+        self.grades = np.concatenate([least, cuts["number"].to_numpy(float)])
+        self.buckets = settings.buckets
+
+    def tails(self, texts: list[str | None]) -> np.ndarray:
+        """For each text the probability of every grade but the least, or of a higher one."""
+        sums = np.array([self.shared.value[features(t, self.buckets)].sum() for t in texts])
+        return 1 / (1 + np.exp(-np.clip(sums.reshape(-1, 1) - self.cuts, -50, 50)))
+
+
 def score(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Score every whole text of `docs` (doc_id, text); one row for each input row.
 
@@ -170,28 +191,17 @@ def score(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) ->
     empty one. Null doc_ids stay null; repeated rows are scored each; other columns are
     left out.
     """
-    rows = model.orderBy("kind", "number").toPandas()  # at most `buckets` weights
-    cuts = rows[rows["kind"] == "cut"]
-    least = rows[rows["kind"] == "least"]["number"]
-    weights = np.zeros(settings.buckets)
-    learned = rows[rows["kind"] == "weight"]
-    weights[learned["number"].to_numpy(np.int64)] = learned["value"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(weights)  # 8 bytes a bucket
-    values = cuts["value"].to_numpy(float)
-    grades = np.concatenate([least.to_numpy(float), cuts["number"].to_numpy(float)])
+    trained = Model(model, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            if len(values):
-                sums = np.array([shared.value[features(t, settings.buckets)].sum() for t in texts])
-                tails = 1 / (1 + np.exp(-np.clip(sums.reshape(-1, 1) - values, -50, 50)))
-                expected = pa.array(grades[0] + tails @ np.diff(grades), pa.float64())
-                top = pa.array(tails[:, -1], pa.float64())
-                kept = pa.array(tails[:, -1] >= 0.5, pa.bool_())
-            else:
-                expected = top = pa.nulls(len(texts), pa.float64())
-                kept = pa.array([True] * len(texts), pa.bool_())
+            n = batch.num_rows
+            expected = top = pa.nulls(n, pa.float64())
+            kept = pa.array([True] * n, pa.bool_())
+            if len(trained.cuts) and n:
+                tails = trained.tails(batch.column(1).to_pylist())
+                expected = pa.array(trained.grades[0] + tails @ np.diff(trained.grades))
+                top, kept = pa.array(tails[:, -1]), pa.array(tails[:, -1] >= 0.5)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), expected, top, kept],
                 ["doc_id", "expected_grade", "tail_probability", "kept"],
@@ -202,6 +212,21 @@ def score(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) ->
     )
 
 
+def keep_good(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of `docs` that `score` keeps, with all their columns."""
+    trained = Model(model, settings)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(trained.cuts) and batch.num_rows:
+                tails = trained.tails(batch.column(at).to_pylist())
+                batch = batch.filter(pa.array(tails[:, -1] >= 0.5))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """Ratings from the labels table: 0 low quality, 1 good but toxic, 2 good; null labels give no rating."""
     plain = pick(labels, doc_id="long", quality="int", toxic="int")

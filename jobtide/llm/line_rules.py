@@ -171,3 +171,26 @@ def clean_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             )
 
     return pick(docs, doc_id="long", text="string").mapInArrow(run, COLUMNS)
+
+
+def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of `docs` that the rules keep, their text without the lines that fail.
+
+    n_chars, if there, follows the text; other columns stay.
+    """
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            judged = [judge(text, rules) for text in batch.column(at).to_pylist()]
+            new = {"text": pa.array([j[-1] for j in judged], batch.column(at).type)}
+            if "n_chars" in names:
+                old = batch.column(names.index("n_chars"))
+                sizes = pa.array([None if j[-1] is None else len(j[-1]) for j in judged], pa.int64())
+                new["n_chars"] = sizes.cast(old.type)
+            columns = [new.get(c, batch.column(i)) for i, c in enumerate(names)]
+            out = pa.RecordBatch.from_arrays(columns, names)
+            yield out.filter(pa.array([j[-2] for j in judged], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -348,6 +348,26 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of `docs` with one document of each component, that of the smallest doc_id.
+
+    Of repeated rows with that doc_id one stays. Rows without a doc_id cannot be named and
+    stay. All columns stay as they are.
+    """
+    found = near_duplicates(docs, settings).where("doc_id is not null")
+    ids = stored(
+        found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")),
+        "members-by-id",
+    )
+    dropped = ids.where("doc_id <> first").select("doc_id")
+    repeated = ids.where("doc_id = first and n > 1").select("doc_id")
+    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return left
+    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
+
+
 def hexadecimal(fingerprint: str) -> Column:
     """A signed long as 16 lower-case hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
