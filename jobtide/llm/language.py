@@ -114,9 +114,9 @@ def learn(samples: DataFrame, settings: Settings = Settings()) -> DataFrame:
             for lang, total in sums.items():
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * len(total)),
-                        pa.array(total.index.to_numpy().view(np.int64)),
-                        pa.array(total.to_numpy(np.int64)),
+                        pa.array([lang] * len(total), pa.string()),
+                        pa.array(total.index.to_numpy(np.uint64).view(np.int64), pa.int64()),
+                        pa.array(total.to_numpy(np.int64), pa.int64()),
                     ],
                     ["lang", "gram", "n"],
                 )
