@@ -4,8 +4,8 @@ One weight vector over hashed text features is shared by all grades; ordered thr
 t_1 < t_2 < ... part them: P(grade >= k) = sigmoid(w.x - t_k). So a document gets an
 expected grade and the tail probability of every grade from one sum.
 
-Features are the distinct words and symbol runs of a text and a few marks of its shape
-(repetition, symbols, capitals), hashed into `buckets` numbers. The model is fitted on at
+Features are the distinct words, word beginnings and symbol runs of a text and a few marks
+of its shape (repetition, symbols, capitals), hashed into `buckets` numbers. The model is fitted on at
 most `sample` rated documents, chosen by a hash of doc_id; all documents are scored.
 """
 
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.frames import pick, stored, utf8
 
+# Bytes of the word beginnings that are features beside the words.
+STEMS = (4, 5, 6)
 TOKENS = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
 
 
@@ -31,12 +33,14 @@ TOKENS = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
 class Settings:
     """Parameters of features and fit."""
 
-    sample: int = 12_000  # rated documents to fit on, at most
+    sample: int = 24_000  # rated documents to fit on, at most
     buckets: int = 1 << 20
     least_documents: int = 6  # rated documents that must hold a feature
-    ridge: float = 0.02
-    rounds: int = 250
-    rate: float = 0.05
+    association: float = 0.1  # least correlation of a feature with reaching a grade
+    deviation: float = 4.0  # the same in standard deviations, for small samples
+    ridge: float = 0.05
+    rounds: int = 800
+    rate: float = 0.15
 
 
 def features(text: str | None, buckets: int) -> np.ndarray:
@@ -55,10 +59,32 @@ def features(text: str | None, buckets: int) -> np.ndarray:
         b"\x00capitals %d" % (10 * capitals // min(letters, 4096)),
         b"\x00size %d" % n.bit_length(),
     ]
-    hashed = np.fromiter(map(crc32, [*kinds, *marks]), np.int64, len(kinds) + len(marks))
+    stems = {b"\x01" + k[:size] for k in kinds for size in STEMS if len(k) > size}
+    found = [*kinds, *stems, *marks]
+    hashed = np.fromiter(map(crc32, found), np.int64, len(found))
     return np.unique(hashed % buckets)
 
 
+def telling(
+    rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, settings: Settings
+) -> np.ndarray:
+    """Features whose presence goes with reaching some grade, by (row, column) pairs.
+
+    Words of one document only would be learned by heart; they are left out.
+    """
+    n = len(grades)
+    held = np.bincount(columns, minlength=settings.buckets)
+    strongest = np.zeros(settings.buckets)
+    for k in range(1, int(grades.max()) + 1):
+        reached = (grades >= k).astype(float)
+        share = reached.mean()
+        more = np.bincount(columns, reached[rows], settings.buckets) - held * share
+        spread = np.sqrt(np.maximum(held * (1 - held / n), 1e-9) * share * (1 - share))
+        strongest = np.maximum(strongest, np.abs(more) / spread)
+    least = max(settings.association * np.sqrt(n), settings.deviation)
+    return np.flatnonzero((held >= settings.least_documents) & (held < n) & (strongest >= least))
+
+
 def fit(
     rows: np.ndarray, columns: np.ndarray, width: int, grades: np.ndarray, settings: Settings
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -144,8 +170,7 @@ def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings())
         sizes = rated["features"].map(len).to_numpy()
         flat = np.concatenate(rated["features"].to_list())
         rows = np.repeat(np.arange(len(rated)), sizes)
-        held = np.bincount(flat, minlength=settings.buckets)
-        common = np.flatnonzero(held >= settings.least_documents)
+        common = telling(rows, flat, grades, settings)
         number = np.full(settings.buckets, -1)
         number[common] = np.arange(len(common))
         use = number[flat] >= 0

@@ -54,15 +54,17 @@ def profile_counts(texts: list[str], longest: int) -> tuple[np.ndarray, list[np.
     An n-gram is its code points, 21 bits each. Runs of other characters are one space; a
     gram of a space alone, or with a space inside, does not count.
     """
-    joined = " ".join(["", *texts, ""])
+    joined = "".join(f" {t} " for t in texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     low = letters()[points]
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    owner = np.concatenate([[0], owner])[: len(points)]
-    keep = (low > 0) | np.concatenate([[True], low[:-1] > 0])
-    keep[np.concatenate([[False], owner[1:] != owner[:-1]])] = True
+    owner = np.repeat(np.arange(len(texts)), [len(t) + 2 for t in texts])
+    keep = low > 0
+    keep[1:] |= low[:-1] > 0
+    # A text's first space stays; the next one stood behind a space.
+    keep[np.cumsum([0, *[len(t) + 2 for t in texts[:-1]]])] = True
     low, owner = low[keep].astype(np.uint64), owner[keep]
     blank = low == 0
+    low[blank] = 32
     grams, owners = [low[~blank]], [owner[~blank]]
     run = low
     for n in range(2, longest + 1):
@@ -71,7 +73,8 @@ def profile_counts(texts: list[str], longest: int) -> tuple[np.ndarray, list[np.
         good = first == owner[n - 1 :]
         for inner in range(1, n - 1):
             good &= ~blank[inner : inner + len(run)]
-        good &= ~(blank[: len(run)] & blank[n - 1 :]) if n > 2 else (run != 0)
+        if n == 2:
+            good &= ~(blank[:-1] & blank[1:])
         grams.append(run[good])
         owners.append(first[good])
     flat, owned = np.concatenate(grams), np.concatenate(owners)

@@ -1,0 +1,81 @@
+"""Ordinal regression: gradients, order of thresholds, held-out accuracy."""
+
+import numpy as np
+import pytest
+
+from jobtide.llm import grades, queries
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def test_fit_finds_ordered_thresholds():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, (3000, 6))
+    true = np.array([3.0, -2.0, 1.0, 0.0, 0.0, 2.0])
+    latent = x @ true + rng.logistic(size=3000)
+    grade = np.digitize(latent, [0.0, 2.0, 4.0])
+    rows, columns = np.nonzero(x)
+    weights, cuts = grades.fit(rows, columns, 6, grade, grades.Settings(rounds=800))
+    assert np.all(np.diff(cuts) > 0)
+    assert np.abs(weights - true).max() < 0.5
+    assert np.abs(cuts - [0.0, 2.0, 4.0]).max() < 0.5
+
+
+def test_accuracy_on_documents_that_were_not_fitted(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    ratings = grades.graded(spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    fitted, rest = ratings.where("doc_id % 2 = 0"), ratings.where("doc_id % 2 = 1")
+    model = grades.train(docs, fitted)
+    scored = grades.score(docs, model).join(rest, "doc_id").toPandas()
+    right = (scored["kept"] == (scored["grade"] == 2)).mean()
+    assert right > 0.94  # learned from 2,000 documents
+    # Toxic documents go, good ones stay.
+    assert scored[scored["grade"] == 2]["kept"].mean() > 0.98
+    assert scored[scored["grade"] == 0]["kept"].mean() < 0.05
+    means = scored.groupby("grade")["expected_grade"].mean()
+    assert means[0] < means[1] < means[2]
+
+
+def test_model_is_bounded_and_repeatable(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    ratings = grades.graded(spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    settings = grades.Settings(sample=300, rounds=40)
+    one, two = (grades.train(docs, ratings, settings).toPandas() for _ in range(2))
+    assert one.sort_values(["kind", "number"]).reset_index(drop=True).equals(
+        two.sort_values(["kind", "number"]).reset_index(drop=True)
+    )
+
+
+def test_query_grades_all_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = queries.op8_quality_classifier(spark, folder).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert all(0 <= r.expected_grade <= 2 and 0 <= r.tail_probability <= 1 for r in rows)
+
+
+def test_odd_rows(spark):
+    frame = spark.createDataFrame(
+        [(None, None, 1), (1, "", 2), (1, "", 2), (2, "a text", 3)], "doc_id long, text string, kept int"
+    )
+    labels = spark.createDataFrame(
+        [(1, 0, None), (1, 1, 0), (2, 1, None), (2, 1, 0), (None, 0, 0), (3, None, 1)],
+        "doc_id long, quality int, toxic int",
+    )
+    rated = sorted((r.doc_id, r.grade) for r in grades.graded(labels.where("doc_id is not null")).collect())
+    assert rated == [(1, 0), (1, 2), (2, 2), (3, 1)]
+    few = grades.Settings(least_documents=1, deviation=0.5)
+    model = grades.train(frame, grades.graded(labels), few)
+    assert {r.kind for r in model.collect()} == {"weight", "cut", "least"}
+    assert len(grades.score(frame, model, few).collect()) == 4
+    nothing = grades.train(frame, grades.graded(labels.limit(0)))
+    out = grades.score(frame, nothing).collect()
+    assert [r.kept for r in out] == [True] * 4 and {r.expected_grade for r in out} == {None}
+    assert grades.keep_good(frame, nothing).count() == 4
+    assert grades.score(frame.limit(0), model, few).collect() == []
+
+
+@pytest.mark.parametrize("text", [None, "", "a b", "A!! B!!", "é" * 10_000])
+def test_features_are_sorted_and_distinct(text):
+    found = grades.features(text, 1 << 20)
+    assert len(found) and np.all(np.diff(found) > 0)

@@ -1,0 +1,115 @@
+"""Unigram pieces against sentencepiece itself and an exhaustive search."""
+
+import random
+from functools import lru_cache
+
+import pytest
+import sentencepiece as spm
+
+from jobtide.llm import pieces, queries
+
+FOLDER = "/root/testdata/sf0.001"
+TEXTS = [
+    "",
+    " ",
+    "  a   b ",
+    "Hello world.",
+    "line\nline\n\n  x",
+    "naïve café ﬁ 中文字 　 😀\x00\x7f",
+    "a" * 300,
+    "\t tab\r\n",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.piece_model(pieces.public_pieces())
+
+
+def test_trie_finds_all_prefixes():
+    rng = random.Random(1)
+    words = {"".join(rng.choices("abé中", k=rng.randint(1, 5))): i for i in range(120)}
+    words = {w: i for i, w in enumerate(words)}
+    trie = pieces.DoubleArray(words)
+    for _ in range(300):
+        text = "".join(rng.choices("abé中z", k=8))
+        for start in range(8):
+            want = [(e, words[text[start:e]]) for e in range(start + 1, 9) if text[start:e] in words]
+            assert trie.prefixes(text, start) == want
+
+
+def test_best_path_has_the_largest_sum(model):
+    plain = {n: i for i, n in enumerate(model.names) if i not in model.bytes.values() and i > 2}
+
+    def largest(text):
+        @lru_cache(None)
+        def go(at):
+            if at == len(text):
+                return 0.0
+            tries = [
+                model.scores[plain[text[at:e]]] + go(e)
+                for e in range(at + 1, len(text) + 1)
+                if text[at:e] in plain
+            ]
+            if text[at] not in plain:
+                tries.append(model.worst + go(at + 1))
+            return max(tries)
+
+        return go(0)
+
+    def total(text):
+        at = sum_ = 0
+        ids = model.best(text)
+        i = 0
+        while i < len(ids):
+            if ids[i] in model.bytes.values():
+                width = len(text[at].encode())
+                assert bytes(model.as_bytes[x][0] for x in ids[i : i + width]) == text[at].encode()
+                sum_ += model.worst
+                i += width
+                at += 1
+            else:
+                name = model.names[ids[i]]
+                assert text[at : at + len(name)] == name
+                sum_ += model.scores[ids[i]]
+                at += len(name)
+                i += 1
+        return sum_
+
+    rng = random.Random(2)
+    for _ in range(200):
+        text = "▁" + "".join(rng.choices("thereing▁aé😀", k=rng.randint(1, 14)))
+        assert total(text) == largest(text)
+
+
+def test_segments_do_not_change_the_path(model):
+    for text in TEXTS:
+        if text:
+            whole = "".join(map(chr, model.best("▁" + text.replace(" ", "▁"))))
+            assert model.encode(text) == whole
+
+
+def test_round_trip(model):
+    for text in TEXTS:
+        assert model.decode(model.encode(text)) == text
+
+
+def test_decoding_agrees_with_the_library(model):
+    library = spm.SentencePieceProcessor(model_file=pieces.public_pieces())
+    for text in TEXTS:
+        assert model.decode("".join(map(chr, library.encode(text)))) == library.decode(library.encode(text))
+
+
+def test_all_documents_round_trip(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    back = pieces.decode_pieces(pieces.encode_pieces(docs))
+    assert back.exceptAll(docs).count() == 0 == docs.exceptAll(back).count()
+    assert queries.op5_sentencepiece(spark, FOLDER).count() == docs.count()
+
+
+def test_odd_rows(spark):
+    frame = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "", 2)], "doc_id long, text string, ids int")
+    assert sorted(len(r.ids) for r in pieces.encode_pieces(frame).collect()) == [0, 0, 0]
+    assert pieces.encode_pieces(frame.limit(0)).collect() == []
+    empty = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
+    assert pieces.decode_pieces(empty).first().text == ""
