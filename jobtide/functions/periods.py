@@ -9,15 +9,19 @@ from jobtide.codes import LAST_PHASE, MONTHS, NOT_INFORMED, SEASONS
 from jobtide.functions.lookup import decode
 from jobtide.functions.text import strip
 
+# The first and the last month whose first day fits into nanoseconds from 1970.
+MONTH_RANGE = ("167710", "226204")
+
 
 def parse_month(text: Column) -> Column:
     """``yyyyMM`` as the first day of that month, NULL where it is no month.
 
-    Impossible months are told apart by comparison first: a failing cast is slow.
+    Months whose first day a 64-bit count of nanoseconds from 1970 cannot hold are
+    none. Impossible months are told apart by comparison first: a failing cast is slow.
     """
     digits = F.when(F.length(text) == 6, text).otherwise(strip(text))
     year, month = F.substring(digits, 1, 4), F.substring(digits, 5, 2)
-    possible = (F.length(digits) == 6) & month.between("01", "12")
+    possible = (F.length(digits) == 6) & digits.between(*MONTH_RANGE) & month.between("01", "12")
     return F.when(possible, F.concat(year, F.lit("-"), month, F.lit("-01")).try_cast("date"))
 
 

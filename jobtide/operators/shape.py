@@ -22,22 +22,28 @@ def pivot_balance(table: DataFrame, index: str, column: str, values: list[str])
 def domains(table: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values per column with the column's smallest and largest value.
 
-    The distinct combinations are found first, so the fact is read once and only
-    those few rows are repeated per column.
+    Values are ordered in the column's own type and written as text after that. The
+    distinct combinations are found first, so the fact is read once and only those
+    few rows are repeated per column.
     """
     combinations = table.select(*columns).distinct()
-    value = F.coalesce(*[F.col(name).cast("string") for name in columns])
     owner = F.coalesce(*[F.when(F.grouping(name) == 0, name) for name in columns])
     domain = Window.partitionBy("dominio")
+
+    def as_text(extreme):
+        return F.coalesce(*[extreme(F.col(name)).over(domain).cast("string") for name in columns])
+
     return (
         combinations.groupingSets([[name] for name in columns], *columns)
-        .agg(owner.alias("dominio"), value.alias("valor"))
-        .where("valor IS NOT NULL")
+        .agg(owner.alias("dominio"))
+        .where(F.coalesce(*[F.col(name).cast("string") for name in columns]).isNotNull())
         .select(
             "dominio",
-            "valor",
-            F.min("valor").over(domain).alias("minimo"),
-            F.max("valor").over(domain).alias("maximo"),
+            F.coalesce(*[F.col(name).cast("string") for name in columns]).alias("valor"),
+            as_text(F.min).alias("minimo"),
+            as_text(F.max).alias("maximo"),
+            *columns,
         )
-        .orderBy("dominio", "valor")
+        .orderBy("dominio", *columns)
+        .select("dominio", "valor", "minimo", "maximo")
     )

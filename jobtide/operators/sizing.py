@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Input bytes per shuffle partition, and the most partitions a shuffle starts with.
+# Input bytes per shuffle partition.
 BYTES_PER_PARTITION = 256 * 1024**2
-MOST_PARTITIONS = 50_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def file_bytes(scan: DataFrame) -> int:
@@ -33,10 +33,12 @@ def size_shuffles(fact: DataFrame) -> None:
     """Start shuffles with enough partitions for ``fact`` to fit into executor memory.
 
     AQE merges partitions that turn out small but does not split evenly large
-    ones, so the number to start with must grow with the input. A session with
-    enough partitions is left as it is.
+    ones, so the number to start with must grow with the input. It is set anew for
+    each fact, and taken back where the session's own number is enough.
     """
     conf = fact.sparkSession.conf
-    needed = min(file_bytes(fact) // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    needed = file_bytes(fact) // BYTES_PER_PARTITION
     if needed > int(conf.get("spark.sql.shuffle.partitions")):
-        conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(needed))
+        conf.set(INITIAL_PARTITIONS, str(needed))
+    else:
+        conf.unset(INITIAL_PARTITIONS)

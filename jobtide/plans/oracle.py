@@ -308,8 +308,9 @@ SELECT *, {TITLE} AS titulo FROM (
   SELECT o_orderpriority AS texto, count(*) AS registros, 'prioridade' AS origem
   FROM orders GROUP BY ALL
   UNION ALL SELECT p_name, count(*), 'produto' FROM part GROUP BY ALL
-  UNION ALL SELECT regiao_bruta, count(*), 'regiao'
-  FROM customer JOIN ufs ON c_nationkey = n_nationkey GROUP BY ALL)
+  UNION ALL SELECT r_name, count(*), 'regiao'
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
 """,
     "fixed_sample": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem
@@ -335,13 +336,16 @@ WHERE nome IS NOT NULL
 """,
     "domains": """,
 valores AS (
-  SELECT DISTINCT 'ano' AS dominio, CAST(ano AS VARCHAR) AS valor FROM limpo
-  UNION SELECT 'setor', setor FROM limpo
-  UNION SELECT 'sigla_uf', sigla_uf FROM limpo
+  SELECT DISTINCT 'ano' AS dominio, ano AS numero, CAST(NULL AS VARCHAR) AS texto FROM limpo
+  UNION SELECT 'mes', mes, NULL FROM limpo
+  UNION SELECT 'setor', NULL, setor FROM limpo
+  UNION SELECT 'sigla_uf', NULL, sigla_uf FROM limpo
 )
-SELECT dominio, valor, min(valor) OVER (PARTITION BY dominio) AS minimo,
-       max(valor) OVER (PARTITION BY dominio) AS maximo
-FROM valores WHERE valor IS NOT NULL
+SELECT dominio, coalesce(CAST(numero AS VARCHAR), texto) AS valor,
+       coalesce(CAST(min(numero) OVER w AS VARCHAR), min(texto) OVER w) AS minimo,
+       coalesce(CAST(max(numero) OVER w AS VARCHAR), max(texto) OVER w) AS maximo
+FROM valores WHERE coalesce(CAST(numero AS VARCHAR), texto) IS NOT NULL
+WINDOW w AS (PARTITION BY dominio)
 """,
     "drifted_union": """
 SELECT CAST(year(l_shipdate) AS INT) AS ano,
@@ -369,7 +373,8 @@ FROM (SELECT 'prioridade' AS campo, TRY_CAST(o_orderpriority AS DOUBLE) AS valor
 GROUP BY campo
 """,
     "flatten_nested": """
-SELECT lpad(left(CAST(c_custkey AS VARCHAR), 6), 6, '0') AS cod_municipio,
+SELECT CASE WHEN length(CAST(c_custkey AS VARCHAR)) >= 19 THEN CAST(c_custkey AS VARCHAR)
+            ELSE lpad(CAST(c_custkey AS VARCHAR), 19, '0') END AS cod_municipio,
        coalesce(c_name, '') AS nome_municipio, coalesce(sigla_uf, '') AS sigla_uf,
        coalesce(nome_uf, '') AS nome_uf, coalesce(regiao_bruta, '') AS regiao
 FROM customer LEFT JOIN ufs ON c_nationkey = n_nationkey

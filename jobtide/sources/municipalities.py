@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import municipality_key, strip, title_case
 from jobtide.schemas import MUNICIPALITY_JSON
 
 
-def flatten(nested: DataFrame) -> DataFrame:
-    """Nested municipality objects as flat rows; a missing parent gives ``""``."""
+def flatten(nested: DataFrame, key: Callable[[Column], Column] = municipality_key) -> DataFrame:
+    """Nested municipality objects as flat rows; a missing parent gives ``""``.
+
+    ``key`` brings the code to its stored form; the real codes have six digits.
+    """
 
     def text(path: str):
         return F.coalesce(F.col(path), F.lit(""))
 
     uf = "microrregiao.mesorregiao.UF"
     return nested.select(
-        municipality_key(F.col("id")).alias("cod_municipio"),
+        key(F.col("id")).alias("cod_municipio"),
         text("nome").alias("nome_municipio"),
         text(f"{uf}.sigla").alias("sigla_uf"),
         text(f"{uf}.nome").alias("nome_uf"),
