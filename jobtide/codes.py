@@ -100,6 +100,7 @@ class Codebook:
     sector: dict = field(default_factory=lambda: SECTOR)
     region_code: dict = field(default_factory=lambda: REGION_CODE)
     sex_code: dict = field(default_factory=lambda: SEX_CODE)
+    region_ufs: dict = field(default_factory=lambda: REGION_UFS)
     valid_ufs: tuple = tuple(sorted(uf for ufs in REGION_UFS.values() for uf in ufs))
     first_year: int = 2020
 

@@ -103,13 +103,20 @@ class Tables:
             .agg(F.sort_array(F.collect_list("sigla_uf")).alias("ufs"))
         )
 
-    def lines(self, accepted_only: bool = False) -> DataFrame:
+    def lines(
+        self, accepted_only: bool = False, years: tuple[int | None, int | None] = (None, None)
+    ) -> DataFrame:
         """Line items as movements without a place.
 
-        ``accepted_only`` also filters the raw flag, which reaches the scan,
-        unlike a filter on the movement code computed from it.
+        ``accepted_only`` also filters the raw flag, and ``years`` (first, last) the
+        raw date. These reach the scan, unlike filters on what is computed from them.
         """
         lines = self.lineitem
+        first, last = years
+        if first is not None:
+            lines = lines.where(F.col("l_shipdate") >= F.lit(f"{first}-01-01").cast("date"))
+        if last is not None:
+            lines = lines.where(F.col("l_shipdate") < F.lit(f"{last + 1}-01-01").cast("date"))
         if accepted_only:
             lines = lines.where(F.col("l_returnflag").isin("A", "R"))
         return lines.select(
@@ -129,17 +136,28 @@ class Tables:
             F.substring("o_orderpriority", 1, 1).alias("escolaridade"),
         )
 
-    def integrated(self, accepted_only: bool = False, sector: bool = False) -> DataFrame:
+    def integrated(
+        self,
+        accepted_only: bool = False,
+        sector: bool = False,
+        years: tuple[int | None, int | None] = (None, None),
+        counted: bool = False,
+    ) -> DataFrame:
         """Movements with period, labels, municipality and, if asked for, sector.
 
         The municipality is joined to the orders, a fraction of the line items,
-        so the line items are shuffled for one join at most, two with the sector.
+        so the line items are shuffled for one join at most. With ``counted`` they are
+        counted per month, code, UF and part (``vezes``) before the join to the parts, so
+        that a hot part is no more than a few rows in each task there.
         """
         placed = join_municipality(
             self.orders_with_code(), self.municipalities(), key=lambda code: code
         )
         placed = broadcast_if_small(placed, self.orders)
-        fact = self.lines(accepted_only).join(placed, "l_orderkey", "left")
+        fact = self.lines(accepted_only, years).join(placed, "l_orderkey", "left")
+        if counted:
+            same = ("ano_mes", "tipo_mov", "l_partkey", "sigla_uf_ibge")
+            fact = fact.groupBy(*same).agg(F.count("*").alias("vezes"))
         if sector:
             part = self.part.select(
                 F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("secao_cnae")
@@ -149,9 +167,16 @@ class Tables:
             add_balance(add_period(fact.drop("l_orderkey", "l_partkey"))), BOOK
         ).withColumn("sigla_uf", F.lit(None).cast("string"))
 
-    def cleaned(self, sector: bool = False) -> DataFrame:
-        """Valid movements."""
-        return clean(self.integrated(True, sector), BOOK, names_are_tidy=True)
+    def cleaned(
+        self, sector: bool = False, years: tuple[int | None, int | None] = (None, None)
+    ) -> DataFrame:
+        """Valid movements, of some years if bounds are given."""
+        return clean(self.integrated(True, sector, years), BOOK, names_are_tidy=True)
+
+    def sums(self, years: tuple[int | None, int | None] = (None, None)) -> DataFrame:
+        """Valid movements with their sector, added up per month, UF and part."""
+        rows = clean(self.integrated(True, True, years, counted=True), BOOK, names_are_tidy=True)
+        return rows.withColumn("saldo", F.col("saldo") * F.col("vezes"))
 
     def transformed(self, sector: bool = False) -> DataFrame:
         """Valid movements with derived columns."""

@@ -37,9 +37,11 @@ from jobtide.session import shared_folder
 from jobtide.sources.manifest import manifest, missing_files
 from jobtide.sources.municipalities import flatten
 from jobtide.sources.raw import conform, read_raw_month, union_months
-from jobtide.sources.tables import materialise, running_total, write_once
+from jobtide.sources.tables import combine_parts, file_counts, running_total, write_once
 from jobtide.streaming.monthly import current_monthly, refresh_monthly
 
+Years = tuple[int | None, int | None]
+ALL_YEARS = (None, None)
 YEARS = (FIRST_YEAR + 1, LAST_YEAR - 1)
 REGIONS = ["Asia", "Europe", "Atlantis"]
 SECTORS = ["Comércio", "Educação", NOT_INFORMED]
@@ -51,24 +53,25 @@ def _monthly(t: Tables) -> DataFrame:
     return moving_average(balance_by_month(t.cleaned()))
 
 
-def _by_uf(t: Tables) -> DataFrame:
-    return balance_by(t.cleaned(), "ano", "sigla_uf")
+def _by_uf(t: Tables, years: Years = ALL_YEARS) -> DataFrame:
+    return balance_by(t.cleaned(years=years), "ano", "sigla_uf")
 
 
-def _by_sector(t: Tables) -> DataFrame:
-    return balance_by(t.cleaned(sector=True), "ano", "setor")
+def _by_sector(t: Tables, years: Years = ALL_YEARS) -> DataFrame:
+    return balance_by(t.sums(years), "ano", "setor")
 
 
 def _by_phase(t: Tables) -> DataFrame:
-    return balance_by(t.transformed(sector=True), "fase_pandemia", "setor")
+    fine = phase(F.col("ano"), F.col("mes"), FINE_PHASES, FIRST_YEAR)
+    return balance_by(t.sums().withColumn("fase_pandemia", fine), "fase_pandemia", "setor")
 
 
-def _by_municipality(t: Tables) -> DataFrame:
-    return balance_by(t.cleaned(), "ano", "nome_municipio", "sigla_uf", "regiao")
+def _by_municipality(t: Tables, years: Years = ALL_YEARS) -> DataFrame:
+    return balance_by(t.cleaned(years=years), "ano", "nome_municipio", "sigla_uf", "regiao")
 
 
-def _by_month(t: Tables) -> DataFrame:
-    return balance_by_month(t.cleaned()).drop("ano_mes")
+def _by_month(t: Tables, years: Years = ALL_YEARS) -> DataFrame:
+    return balance_by_month(t.cleaned(years=years)).drop("ano_mes")
 
 
 def monthly_balance(t: Tables) -> DataFrame:
@@ -100,16 +103,16 @@ def region_phase(t: Tables) -> DataFrame:
 
 
 def uf_ranking(t: Tables) -> DataFrame:
-    return views.uf_ranking(_by_uf(t), t.region_ufs(), YEARS, REGIONS)
+    return views.uf_ranking(_by_uf(t, YEARS), t.region_ufs(), YEARS, REGIONS)
 
 
 def top_municipalities(t: Tables) -> DataFrame:
-    return views.municipality_ranking(_by_municipality(t), t.region_ufs(), YEARS, REGIONS)
+    return views.municipality_ranking(_by_municipality(t, YEARS), t.region_ufs(), YEARS, REGIONS)
 
 
 def bottom_municipalities(t: Tables) -> DataFrame:
     return views.municipality_ranking(
-        _by_municipality(t), t.region_ufs(), YEARS, REGIONS, uf=UF, largest=False
+        _by_municipality(t, YEARS), t.region_ufs(), YEARS, REGIONS, uf=UF, largest=False
     )
 
 
@@ -118,27 +121,30 @@ def municipality_years(t: Tables) -> DataFrame:
 
 
 def sector_evolution(t: Tables) -> DataFrame:
-    return views.sector_evolution(_by_sector(t), YEARS, SECTORS)
+    return views.sector_evolution(_by_sector(t, YEARS), YEARS, SECTORS)
 
 
 def sector_growth(t: Tables) -> DataFrame:
-    return views.sector_growth(growth(_by_sector(t), "setor", FIRST_YEAR, LAST_YEAR))
+    both = (FIRST_YEAR, LAST_YEAR)
+    return views.sector_growth(growth(_by_sector(t, both), "setor", *both))
 
 
 def schooling_year_pair(t: Tables) -> DataFrame:
     """Balance by schooling in the first and in the last year, by full outer join."""
-    by_year = materialise(balance_by(t.cleaned(), "ano", "escolaridade"), "escolaridade")
-    first = by_year.where(F.col("ano") == FIRST_YEAR)
-    last = by_year.where(F.col("ano") == LAST_YEAR)
+    first, last = (
+        balance_by(t.cleaned(years=(year, year)), "escolaridade") for year in (FIRST_YEAR, LAST_YEAR)
+    )
     return outer_balance(first, last, "escolaridade")
 
 
 def month_year_matrix(t: Tables) -> DataFrame:
-    return views.seasonality(_by_month(t), (FIRST_YEAR, LAST_YEAR - 1))
+    years = (FIRST_YEAR, LAST_YEAR - 1)
+    return views.seasonality(_by_month(t, years), years)
 
 
 def sector_three_years(t: Tables) -> DataFrame:
-    return views.sector_years(_by_sector(t), [FIRST_YEAR, FIRST_YEAR + 1, FIRST_YEAR + 2])
+    years = list(range(FIRST_YEAR, FIRST_YEAR + 3))
+    return views.sector_years(_by_sector(t, (years[0], years[-1])), years)
 
 
 def phase_kpis(t: Tables) -> DataFrame:
@@ -147,8 +153,9 @@ def phase_kpis(t: Tables) -> DataFrame:
 
 
 def first_years_zoom(t: Tables) -> DataFrame:
-    monthly = balance_by_month(t.cleaned())
-    return views.months_of(monthly, list(range(FIRST_YEAR - 1, FIRST_YEAR + 3)))
+    years = list(range(FIRST_YEAR - 1, FIRST_YEAR + 3))
+    monthly = balance_by_month(t.cleaned(years=(years[0], years[-1])))
+    return views.months_of(monthly, years)
 
 
 def uf_min_max(t: Tables) -> DataFrame:
@@ -233,9 +240,9 @@ def title_case_query(t: Tables) -> DataFrame:
     sources = {
         "prioridade": t.orders.select(F.col("o_orderpriority").alias("texto")),
         "produto": t.part.select(F.col("p_name").alias("texto")),
-        "regiao": t.customer.join(t.ufs(), F.col("c_nationkey") == F.col("n_nationkey")).select(
-            F.col("regiao").alias("texto")
-        ),
+        "regiao": t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .select(F.col("r_name").alias("texto")),
     }
     counted = union_months(
         [
@@ -267,14 +274,14 @@ def missing_months(t: Tables) -> DataFrame:
 def missing_files_query(t: Tables) -> DataFrame:
     """Archives of (month, UF) pairs with no accepted movement, by file name.
 
-    The list of files is stored first: both sides of the anti-join come from it.
+    Both sides of the anti-join come from one sum per pair, which Spark computes once
+    and reads twice.
     """
     reason = reject_reason(F.col("sigla_uf_ibge"), F.col("tipo_mov"), BOOK)
-    files = materialise(
+    files = (
         t.integrated()
         .groupBy("ano_mes", "sigla_uf_ibge")
-        .agg(F.count_if(reason.isNull()).alias("aceitos")),
-        "arquivos",
+        .agg(F.count_if(reason.isNull()).alias("aceitos"))
     )
     month = F.date_format("ano_mes", "yyyyMM")
     uf = F.coalesce("sigla_uf_ibge", F.lit("x"))
@@ -285,7 +292,7 @@ def missing_files_query(t: Tables) -> DataFrame:
 
 
 def domains_query(t: Tables) -> DataFrame:
-    return domains(t.cleaned(sector=True), ["ano", "setor", "sigla_uf"])
+    return domains(t.sums(), ["ano", "mes", "setor", "sigla_uf"])
 
 
 def drifted_union(t: Tables) -> DataFrame:
@@ -315,7 +322,7 @@ def drifted_union(t: Tables) -> DataFrame:
 
 def base_cube_rollups(t: Tables) -> DataFrame:
     """Balances by UF, by sector and by month from one cube, in one scan of the fact."""
-    cube = base_cube(t.cleaned(sector=True), "ano", "mes", "sigla_uf", "setor")
+    cube = base_cube(t.sums(), "ano", "mes", "sigla_uf", "setor")
     return rollups(
         cube,
         {
@@ -381,7 +388,7 @@ def flatten_nested(t: Tables) -> DataFrame:
         )
     )
     parsed = placed.select(F.from_json(text, MUNICIPALITY_JSON).alias("m")).select("m.*")
-    return flatten(parsed)
+    return flatten(parsed, whole_code)
 
 
 def monthly_record_counts(t: Tables) -> DataFrame:

@@ -6,10 +6,17 @@ DataFrame per chart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.codes import COARSE_PHASES, FINE_PHASES, MONTHS, phase_order
+from jobtide.codes import (
+    COARSE_PHASES,
+    DEFAULT_CODEBOOK,
+    FINE_PHASES,
+    MONTHS,
+    Codebook,
+    phase_order,
+)
 from jobtide.functions.lookup import rank_in
 from jobtide.functions.numbers import is_gain, signed_percent, signed_thousands
 from jobtide.functions.periods import month_label, month_name, phase
@@ -18,7 +25,7 @@ from jobtide.operators.aggregate import balance_by
 from jobtide.operators.filters import in_regions, in_sectors, in_years, uf_regions
 from jobtide.operators.ranking import order_by_category, top_k
 from jobtide.operators.series import indicators
-from jobtide.operators.shape import pivot_balance
+from jobtide.operators.shape import domains, pivot_balance
 
 PLACE = ["nome_municipio", "sigla_uf", "regiao"]
 
@@ -154,6 +161,22 @@ def region_phases(by_uf: DataFrame, region_ufs: DataFrame, first_year: int) -> D
     return totals.orderBy(rank_in(F.col("fase"), phase_order(COARSE_PHASES)), "regiao")
 
 
+def region_table(spark: SparkSession, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """(regiao, ufs) from the code tables, as the regional and the crisis page take it."""
+    return spark.createDataFrame(list(book.region_ufs.items()), "regiao string, ufs array<string>")
+
+
+def regional_choices(by_uf: DataFrame, region_ufs: DataFrame) -> DataFrame:
+    """What the regional page lets its reader choose: years, regions and UFs, with the extremes."""
+    placed = by_uf.join(uf_regions(region_ufs), "sigla_uf", "left")
+    return domains(placed, ["ano", "regiao", "sigla_uf"])
+
+
+def sectoral_choices(by_sector: DataFrame) -> DataFrame:
+    """What the sector page lets its reader choose: years and sectors, with the extremes."""
+    return domains(by_sector, ["ano", "setor"])
+
+
 def overview_page(
     monthly: DataFrame,
     by_uf: DataFrame,
@@ -183,6 +206,7 @@ def regional_page(
     """All tables of the regional page. The chosen UF narrows only the municipalities."""
     choice = {"region_ufs": region_ufs, "years": years, "regions": regions}
     return {
+        "escolhas": regional_choices(by_uf, region_ufs),
         "ranking_ufs": uf_ranking(by_uf, **choice),
         "maiores": municipality_ranking(by_municipality, **choice, uf=uf),
         "menores": municipality_ranking(by_municipality, **choice, uf=uf, largest=False),
@@ -198,6 +222,7 @@ def sectoral_page(
 ) -> dict[str, DataFrame]:
     """All tables of the sector page."""
     return {
+        "escolhas": sectoral_choices(by_sector),
         "evolucao": sector_evolution(by_sector, years, chosen),
         "crescimento": sector_growth(grown, chosen),
         "sazonalidade": seasonality(by_month, years),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,12 +33,14 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies below ``spark.checkpoint.dir`` or, where that is unset, below the
-    warehouse, which driver and executors share as well. The folder goes when the
-    session's file system is closed.
+    It lies below ``spark.checkpoint.dir``. Only a local session, where driver and
+    executors are one machine, may go without that setting; it takes its warehouse.
+    The folder goes when the application ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     remove_at_exit(spark, path)

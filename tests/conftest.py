@@ -9,12 +9,13 @@ from jobtide.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
         },
