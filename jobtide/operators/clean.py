@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.codes import DEFAULT_CODEBOOK, MOVEMENT, Codebook
@@ -74,6 +74,52 @@ def clean(
     )
 
 
+def account(integrated: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """All counts behind the reject report and the null profile, in one pass.
+
+    Rows (``conta``, ``nome``, ``registros``): the rows in, those charged to each rule,
+    out and removed, and the nulls of each column. Accounts of parts can be added up.
+    """
+    motive = reject_reason(F.col("sigla_uf"), F.col("tipo_mov"), book)
+    counts = {
+        ("rejeitados", "total_entrada"): F.count("*"),
+        **{("rejeitados", rule): F.count_if(motive == rule) for rule in RULES},
+        ("rejeitados", "total_saida"): F.count_if(motive.isNull()),
+        ("rejeitados", "removidos"): F.count(motive),
+        ("nulos", ""): F.count("*"),
+        **{
+            ("nulos", name): F.count_if(is_missing(F.col(f"_antes.`{name}`"), kind in ("double", "float")))
+            for name, kind in integrated.dtypes
+        },
+    }
+    rows = integrated.select(F.struct("*").alias("_antes"), "*")
+    numbered = [count.alias(f"c{i}") for i, count in enumerate(counts.values())]
+    entries = [
+        F.struct(F.lit(kind).alias("conta"), F.lit(name).alias("nome"), F.col(f"c{i}").alias("registros"))
+        for i, (kind, name) in enumerate(counts)
+    ]
+    return _official_uf(rows).agg(*numbered).select(F.inline(F.array(*entries)))
+
+
+def _shares(accounts: DataFrame, kind: str, total: str, name: str, count: str) -> DataFrame:
+    """The sums of one kind of account with their percentage of a total."""
+    sums = accounts.where(F.col("conta") == kind).groupBy("nome").agg(F.sum("registros").alias(count))
+    whole = Window.partitionBy()  # a row for each rule or column
+    entry = F.max(F.when(F.col("nome") == total, F.col(count))).over(whole)
+    share = F.coalesce(F.try_divide(count, entry) * 100, F.lit(0.0))
+    return sums.select(F.col("nome").alias(name), count, share.alias("pct"))
+
+
+def reject_shares(accounts: DataFrame) -> DataFrame:
+    """Rows in, rows charged to each rule, rows out and rows removed."""
+    return _shares(accounts, "rejeitados", "total_entrada", "motivo", "registros")
+
+
+def null_shares(accounts: DataFrame) -> DataFrame:
+    """Nulls and their percentage for every column that has any."""
+    return _shares(accounts, "nulos", "", "coluna", "nulos").where("coluna <> '' AND nulos > 0")
+
+
 def reject_report(integrated: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
     """Rows in, rows charged to each rule, rows out and rows removed, in one pass."""
     rows = _official_uf(integrated).select(

@@ -12,6 +12,9 @@ from jobtide.functions.lookup import decode
 from jobtide.functions.periods import parse_month
 from jobtide.functions.text import municipality_key, strip
 
+# Brings a municipality code to the form it is joined on.
+Key = Callable[[Column], Column]
+
 
 def add_period(movements: DataFrame) -> DataFrame:
     """``ano_mes`` as a date, with its year and month; a date column is kept as it is."""
@@ -50,7 +53,7 @@ def decode_labels(movements: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> Da
 def join_municipality(
     fact: DataFrame,
     municipalities: DataFrame,
-    key: Callable[[Column], Column] = municipality_key,
+    key: Key = municipality_key,
 ) -> DataFrame:
     """Left join to the municipality table; unmatched rows keep NULLs.
 
@@ -74,8 +77,11 @@ def join_municipality(
 
 
 def integrate(
-    movements: DataFrame, municipalities: DataFrame, book: Codebook = DEFAULT_CODEBOOK
+    movements: DataFrame,
+    municipalities: DataFrame,
+    book: Codebook = DEFAULT_CODEBOOK,
+    key: Key = municipality_key,
 ) -> DataFrame:
     """Stored movements as the integrated table: dates, labels, municipality."""
     decoded = decode_labels(add_balance(add_period(movements)), book)
-    return join_municipality(decoded, municipalities)
+    return join_municipality(decoded, municipalities, key)

@@ -32,6 +32,7 @@ from jobtide.operators.shape import domains
 from jobtide.operators.sizing import size_shuffles
 from jobtide.plans import views
 from jobtide.plans.binding import BOOK, FIRST_YEAR, LAST_YEAR, Tables, whole_code
+from jobtide.plans.stages import build_tables
 from jobtide.schemas import MOVEMENTS, MUNICIPALITY_JSON
 from jobtide.session import shared_folder
 from jobtide.sources.manifest import manifest, missing_files
@@ -475,6 +476,66 @@ def incremental_month(t: Tables) -> DataFrame:
     return current_monthly(t.spark, f"{folder}/saldo")
 
 
+def combined_parts(t: Tables) -> DataFrame:
+    """Records per part, with the running total, of a fact stored in two parts.
+
+    The parts have different columns; they are combined by name.
+    """
+    folder = shared_folder(t.spark, "lotes")
+    lines = t.lines()
+    parts = {
+        "lote_a": lines.where("sexo = 'O'").select("ano_mes", "tipo_mov", "salario"),
+        "lote_b": lines.where("sexo <> 'O' OR sexo IS NULL").select("tipo_mov", "ano_mes"),
+    }
+    paths = [f"{folder}/{name}" for name in parts]
+    for path, rows in zip(paths, parts.values()):
+        write_once(rows, path)
+    files = file_counts(combine_parts(t.spark, paths))
+    part = F.regexp_extract("arquivo", r"/(lote_[a-z])/", 1)
+    counts = files.groupBy(part.alias("lote")).agg(F.sum("registros").alias("registros"))
+    salaries = combine_parts(t.spark, paths).agg(F.count("salario").alias("com_salario"))
+    # One row with one number.
+    return running_total(counts, "lote").join(F.broadcast(salaries), F.lit(True))
+
+
+def rebuilt_balances(t: Tables) -> DataFrame:
+    """Stored balance tables after two ingests of raw text, the second of later months."""
+    folder = shared_folder(t.spark, "meses")
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("seção"))
+    raw = t.lines_with_code().join(part, "l_partkey", "left")
+    raw = raw.select(
+        F.date_format("ano_mes", "yyyyMM").alias("competênciamov"),
+        F.col("cod_municipio").cast("string").alias("município"),
+        "seção",
+        F.col("tipo_mov").cast("string").alias("saldomovimentação"),
+        F.col("sexo").alias("sexotrabalhador"),
+        F.coalesce(F.col("ano_mes") < f"{LAST_ARRIVAL_YEAR}-01-01", F.lit(True)).alias("cedo"),
+    )
+    places = t.municipalities().withColumn("cod_municipio", whole_code(F.col("cod_municipio")))
+    write_once(places, f"{folder}/tabelas/municipios")
+    paths: list[str] = []
+    for early in (True, False):
+        arrived = f"{folder}/texto_{early}"
+        raw.where(F.col("cedo") == early).drop("cedo").write.mode("overwrite").csv(
+            arrived, sep=";", header=True
+        )
+        paths += t.spark.read.text(arrived).inputFiles()
+        tables = build_tables(
+            t.spark, paths, "", f"{folder}/tabelas", BOOK, last_year=LAST_YEAR, key=whole_code
+        )
+    keys = {
+        "agg_saldo_uf": ["ano", "sigla_uf"],
+        "agg_setor_ano": ["ano", "setor"],
+        "agg_mes_ano": ["ano", "mes"],
+    }
+    return union_months(
+        [
+            tables[name].select(F.lit(name).alias("tabela"), *columns, "saldo")
+            for name, columns in keys.items()
+        ]
+    ).select("tabela", "ano", "mes", "sigla_uf", "setor", "saldo")
+
+
 def conform_stored(rows: DataFrame) -> DataFrame:
     """Adds the stored columns that ``rows`` lacks as typed NULLs, in schema order."""
     absent = {
@@ -521,6 +582,8 @@ QUERIES = {
     "transformed_profile": transformed_profile,
     "delimited_months": delimited_months,
     "incremental_month": incremental_month,
+    "combined_parts": combined_parts,
+    "rebuilt_balances": rebuilt_balances,
 }
 
 

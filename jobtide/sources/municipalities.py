@@ -30,9 +30,11 @@ def flatten(nested: DataFrame, key: Callable[[Column], Column] = municipality_ke
     )
 
 
-def read_municipalities(spark: SparkSession, path: str) -> DataFrame:
+def read_municipalities(
+    spark: SparkSession, path: str, key: Callable[[Column], Column] = municipality_key
+) -> DataFrame:
     """Municipalities from a JSON array file."""
-    return flatten(spark.read.schema(MUNICIPALITY_JSON).json(path, multiLine=True))
+    return flatten(spark.read.schema(MUNICIPALITY_JSON).json(path, multiLine=True), key)
 
 
 def tidy(municipalities: DataFrame) -> DataFrame:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from jobtide.schemas import MOVEMENTS, SOURCE_FILE
-from jobtide.session import shared_folder
+from jobtide.schemas import BATCH, MOVEMENTS, ORIGIN, SOURCE_FILE
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -32,37 +31,32 @@ def write_once(table: DataFrame, path: str, partition_by: str | None = None) ->
     return True
 
 
-def write_fact(fact: DataFrame, path: str, partition_by: str = "ano", keep_others: bool = False) -> None:
+def write_fact(
+    fact: DataFrame, path: str, *partition_by: str, keep_others: bool = False
+) -> None:
     """Partitioned Parquet with even files; ``keep_others`` leaves other partitions alone.
 
-    The rebalance hint shuffles by the partition column, then lets AQE join
+    The rebalance hint shuffles by the partition columns, then lets AQE join
     small outputs and split a large one, so a year that holds a third of all
     rows is still written by many tasks.
     """
     (
-        fact.hint("rebalance", partition_by)
+        fact.hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if keep_others else "static")
-        .partitionBy(partition_by)
+        .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def materialise(table: DataFrame, label: str) -> DataFrame:
-    """``table`` written to the shared folder and read back.
-
-    Ends its lineage at files that outlive any executor, so a result that is used
-    twice is computed once.
-    """
-    path = shared_folder(table.sparkSession, label)
-    table.write.mode("overwrite").parquet(path)
-    return table.sparkSession.read.schema(table.schema).parquet(path)
-
-
 def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """The ingested movements; columns a file lacks are NULL."""
-    schema = StructType(MOVEMENTS.fields + [StructField(SOURCE_FILE, StringType())])
-    return spark.read.schema(schema).parquet(path)
+    """The ingested movements with their batch and file; columns a file lacks are NULL."""
+    partitions = [
+        StructField(BATCH, IntegerType()),
+        StructField(SOURCE_FILE, StringType()),
+        StructField(ORIGIN, StringType()),
+    ]
+    return spark.read.schema(StructType([*MOVEMENTS.fields, *partitions])).parquet(path)
 
 
 def combine_parts(spark: SparkSession, paths: list[str]) -> DataFrame:

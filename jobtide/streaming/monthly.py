@@ -5,9 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from jobtide.codes import DEFAULT_CODEBOOK, Codebook
 from jobtide.operators.aggregate import balance_by, balance_by_month
+from jobtide.operators.clean import clean
+from jobtide.operators.enrich import integrate
 from jobtide.schemas import MOVEMENTS
+from jobtide.sources.municipalities import tidy
+
+
+def monthly_preparation(
+    municipalities: DataFrame, book: Codebook = DEFAULT_CODEBOOK
+) -> Callable[[DataFrame], DataFrame]:
+    """How stored movements become cleaned rows for the monthly sum.
+
+    Movements that agree in month, municipality and code are counted before the join.
+    """
+    places = tidy(municipalities)
+
+    def prepare(arrivals: DataFrame) -> DataFrame:
+        counted = arrivals.groupBy("ano_mes", "cod_municipio", "tipo_mov").agg(
+            F.count("*").alias("vezes")
+        )
+        unplaced = counted.withColumn("sigla_uf", F.lit(None).cast("string"))
+        cleaned = clean(integrate(unplaced, places, book), book, names_are_tidy=True)
+        return cleaned.withColumn("saldo", F.col("saldo") * F.col("vezes"))
+
+    return prepare
 
 
 def refresh_monthly(

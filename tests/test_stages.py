@@ -6,12 +6,16 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.codes import DEFAULT_CODEBOOK
 from jobtide.operators.clean import clean
 from jobtide.operators.enrich import integrate
-from jobtide.plans.stages import build_tables, ingest_missing, store_municipalities
+from jobtide.operators.series import growth
+from jobtide.plans.stages import build_tables, ingest_missing, read_ledger, store_municipalities
+from jobtide.plans.views import crisis_page, overview_page, region_table, regional_page, sectoral_page
 from jobtide.schemas import MOVEMENTS, SOURCE_FILE
-from jobtide.sources.raw import read_raw, read_raw_month
+from jobtide.sources.raw import EXTRA, read_raw, read_raw_month
 from jobtide.sources.tables import combine_parts, file_counts, is_complete, read_movements, write_once
+from jobtide.streaming.monthly import current_monthly, monthly_preparation, refresh_monthly
 
 HEADER = (
     "competênciamov;região;uf;município;seção;subclasse;saldomovimentação;saldomensalremuneração;"
@@ -86,7 +90,7 @@ def tables(spark, raw, tmp_path_factory):
 def test_files_with_other_columns_keep_their_meaning(spark, raw):
     paths = [str(raw / name) for name in ("MOVS202001.txt", "MOVS202101.txt")]
     rows = read_raw(spark, paths)
-    assert rows.columns == MOVEMENTS.fieldNames() + [SOURCE_FILE]
+    assert rows.columns == MOVEMENTS.fieldNames() + EXTRA
     second = rows.where("arquivo = 'MOVS202101'").collect()
     assert len(second) == 8
     assert second[0].ano_mes == "202101" and second[0].tipo_mov == 1.0
@@ -262,3 +266,122 @@ def test_rules_reach_both_scans(tables):
     plan = cleaned._jdf.queryExecution().executedPlan().toString()
     assert "In(tipo_mov, [-1.0,1.0])" in plan and "In(sigla_uf, [AC," in plan
     assert "BroadcastHashJoin" in plan and "Inner" in plan
+
+
+def balances(tables):
+    return {
+        name: sorted(map(tuple, tables[name].collect()), key=str)
+        for name in tables
+        if name.startswith("agg_") or name in ("rejeitados", "nulos")
+    }
+
+
+def test_new_months_reach_every_table(spark, raw, tmp_path):
+    first, second = (str(raw / f"{name}.txt") for name in ("MOVS202001", "MOVS202101"))
+    places = str(raw / "municipios.json")
+    grown, whole = str(tmp_path / "grown"), str(tmp_path / "whole")
+    early = build_tables(spark, [first], places, grown)
+    assert early["transformado"].count() == 7
+    later = build_tables(spark, [first, second], places, grown)
+    once = build_tables(spark, [second, first], places, whole)
+    assert later["transformado"].count() == once["transformado"].count() == 11
+    assert balances(later) == balances(once)
+    assert {"saldo_2020", "saldo_2026"} < set(later["agg_crescimento_setor"].columns)
+
+
+def test_files_are_told_apart_by_their_path(spark, raw, tmp_path):
+    text = (raw / "MOVS202001.txt").read_text(encoding="utf-8")
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "MOVS202001.txt").write_text(text, encoding="utf-8")
+    path = str(tmp_path / "movimentos")
+    one, two = (str(tmp_path / folder / "MOVS202001.txt") for folder in "ab")
+    assert ingest_missing(spark, [one], path) == 1
+    assert ingest_missing(spark, [one, two], path) == 1
+    assert read_movements(spark, path).count() == 2 * len(FIRST)
+    both = str(tmp_path / "juntos")
+    assert ingest_missing(spark, [one, two], both) == 2
+    assert read_movements(spark, both).count() == 2 * len(FIRST)
+
+
+def test_outcome_of_every_file(spark, raw, tmp_path):
+    good, broken, empty, blank = (tmp_path / f"{name}.txt" for name in ("good", "broken", "empty", "blank"))
+    good.write_text("\n".join([HEADER, *FIRST]) + "\n", encoding="utf-8")
+    broken.write_text("\n".join([SECOND_HEADER, *SECOND, "1;202101", SECOND[0] + ";more"]) + "\n", encoding="utf-8")
+    empty.write_text(HEADER + "\n", encoding="utf-8")
+    blank.write_text("", encoding="utf-8")
+    lost = tmp_path / "lost.txt"
+    path = str(tmp_path / "movimentos")
+    paths = [str(f) for f in (good, broken, empty, blank, lost)]
+    assert ingest_missing(spark, paths, path) == 2
+    rows = {
+        row.caminho.rsplit("/", 1)[1]: (row.registros, row.malformados, row.situacao)
+        for row in read_ledger(spark, f"{path}_arquivos").collect()
+    }
+    assert rows == {
+        "good.txt": (len(FIRST), 0, "gravado"),
+        "broken.txt": (len(SECOND), 2, "gravado"),
+        "empty.txt": (0, 0, "vazio"),
+        "blank.txt": (0, 0, "ilegivel"),
+        "lost.txt": (0, 0, "ausente"),
+    }
+    kept = spark.read.parquet(f"{path}_malformadas")
+    assert {row.linha_malformada for row in kept.collect()} == {"1;202101", SECOND[0] + ";more"}
+    lost.write_text("\n".join([HEADER, FIRST[0]]) + "\n", encoding="utf-8")
+    assert ingest_missing(spark, paths, path) == 1
+    assert read_movements(spark, path).count() == len(FIRST) + len(SECOND) + 1
+
+
+def test_headers_take_one_job(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"m{i}.txt").write_text("\n".join([HEADER, *FIRST]) + "\n", encoding="utf-8")
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(count):
+        spark.sparkContext.setJobGroup(f"headers-{count}", "")
+        read_raw(spark, [str(tmp_path / f"m{i}.txt") for i in range(count)])
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"headers-{count}"))
+
+    assert jobs(2) == jobs(12)
+
+
+def test_fact_is_read_once(spark, raw, tmp_path, monkeypatch):
+    from jobtide.plans import stages
+
+    reads = []
+    original = stages.integrate
+    monkeypatch.setattr(stages, "integrate", lambda *a: reads.append(a[0]) or original(*a))
+    build_tables(spark, [str(raw / "MOVS202001.txt")], str(raw / "municipios.json"), str(tmp_path))
+    assert len(reads) == 1
+    from pyspark.sql import DataFrame
+
+    assert isinstance(reads[0], DataFrame)
+
+
+def test_from_raw_files_to_all_pages(spark, raw, tables):
+    regions = region_table(spark)
+    t = tables
+    pages = {
+        **overview_page(t["agg_saldo_mensal"], t["agg_saldo_uf"], t["agg_setor_ano"], t["agg_saldo_fase"]),
+        **regional_page(t["agg_saldo_uf"], t["agg_municipios"], regions),
+        **sectoral_page(t["agg_setor_ano"], growth(t["agg_setor_ano"], "setor", 2020, 2026), t["agg_mes_ano"]),
+        **crisis_page(t["agg_saldo_mensal"], t["agg_saldo_fase"], t["agg_setor_ano"], t["agg_saldo_uf"], regions),
+    }
+    assert all(page.count() for page in pages.values())
+    choices = regional_page(t["agg_saldo_uf"], t["agg_municipios"], regions)["escolhas"].collect()
+    assert {c.valor for c in choices if c.dominio == "regiao"} <= set(DEFAULT_CODEBOOK.region_ufs)
+    years = sorted(int(c.valor) for c in choices if c.dominio == "ano")
+    assert {(int(c.minimo), int(c.maximo)) for c in choices if c.dominio == "ano"} == {(years[0], years[-1])}
+
+
+def test_monthly_refresh_of_real_movements(spark, raw, tmp_path):
+    paths = [str(raw / name) for name in ("MOVS202001.txt", "MOVS202101.txt")]
+    out = str(tmp_path / "out")
+    state, sums = str(tmp_path / "state"), str(tmp_path / "sums")
+    for upto in (1, 2):
+        built = build_tables(spark, paths[:upto], str(raw / "municipios.json"), out)
+        refresh_monthly(spark, f"{out}/movimentos", state, sums, monthly_preparation(built["municipios"]))
+        monthly = built["agg_saldo_mensal"].select("ano", "mes", "ano_mes", "saldo")
+        now = current_monthly(spark, sums).select("ano", "mes", "ano_mes", "saldo")
+        assert sorted(map(tuple, now.collect())) == sorted(map(tuple, monthly.collect()))
