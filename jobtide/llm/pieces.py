@@ -8,8 +8,8 @@ spaces.
 
 The best path is found segment by segment. A place between two characters that stand
 next to each other in no piece is crossed by no piece, so the best path of a text is the
-best paths of its segments one after the other. Segments repeat, so each worker keeps
-those it has met.
+best paths of its segments one after the other. Texts are parted before markers and at
+line ends. Segments repeat, so each worker keeps those it has met lately.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -28,6 +29,8 @@ MARK = "▁"
 BYTE = re.compile("<0x([0-9A-F]{2})>")
 # How far below the least score a character outside all pieces lies.
 UNKNOWN_PENALTY = 10.0
+# Characters of a segment that is searched together with others, and segments of a group.
+LONGEST, SLAB = 32, 200_000
 
 
 class DoubleArray:
@@ -93,7 +96,7 @@ class DoubleArray:
 class PieceModel:
     """The pieces of a model file with their scores."""
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 350_000) -> None:
         import sentencepiece as spm
 
         reader = spm.SentencePieceProcessor(model_file=path)
@@ -118,24 +121,42 @@ class PieceModel:
             self.segments = re.compile("(?s).+")
         else:
             self.segments = re.compile(f"\n|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
+        # What was met lately, and before; the older half goes when the newer one is full.
         self.kept: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.limit = limit
+        self.base, self.check, self.value = (
+            np.array(x, np.int32) for x in (self.trie.base, self.trie.check, self.trie.value)
+        )
+        self.weights = np.array(self.scores)
 
     def best(self, text: str) -> list[int]:
         """Ids of the best path; of equal sums, the one whose last differing piece is longer."""
         n = len(text)
-        low = float("-inf")
-        score, back = [0.0] + [low] * n, [(0, 0)] * (n + 1)
-        scores = self.scores
+        score, back = [0.0] + [float("-inf")] * n, [(0, 0)] * (n + 1)
+        scores, worst = self.scores, self.worst
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        codes = list(map(self.trie.codes.get, text))
         for start in range(n):
             here = score[start]
+            state, end = 0, start
             single = False
-            for end, piece in self.trie.prefixes(text, start):
-                single = single or end == start + 1
-                if here + scores[piece] > score[end]:
-                    score[end], back[end] = here + scores[piece], (start, piece)
-            if not single and here + self.worst > score[start + 1]:
-                score[start + 1], back[start + 1] = here + self.worst, (start, -1)
+            for code in codes[start:]:
+                if code is None:
+                    break
+                child = base[state] + code
+                if check[child] != state:
+                    break
+                state = child
+                end += 1
+                piece = value[state]
+                if piece >= 0:
+                    single = single or end == start + 1
+                    total = here + scores[piece]
+                    if total > score[end]:
+                        score[end], back[end] = total, (start, piece)
+            if not single and here + worst > score[start + 1]:
+                score[start + 1], back[start + 1] = here + worst, (start, -1)
         ids: list[int] = []
         at = n
         while at:
@@ -150,26 +171,99 @@ class PieceModel:
             at = start
         return ids[::-1]
 
-    def segment(self, text: str) -> str:
-        """A segment's ids, one character each."""
-        known = self.kept.get(text)
-        if known is None:
-            known = "".join(map(chr, self.best(text)))
-            if len(text) <= 64:
-                if len(self.kept) >= self.limit:
-                    self.kept.clear()
-                self.kept[text] = known
-        return known
+    def best_of_many(self, words: list[str]) -> dict[str, str]:
+        """`best` of many short segments at once, one character for each id.
+
+        The search moves over all segments together: for each start and each further
+        character one step through the trie's arrays.
+        """
+        words = sorted(words, key=len, reverse=True)
+        sizes = np.array([len(w) for w in words])
+        n, width = len(words), int(sizes[0])
+        flat = np.fromiter(
+            (self.trie.codes.get(c, 0) for c in "".join(words)), np.int32, int(sizes.sum())
+        )
+        codes = np.zeros((n, width), np.int32)
+        codes[np.arange(width) < sizes[:, None]] = flat
+        score = np.full((n, width + 1), -np.inf)
+        score[:, 0] = 0.0
+        length, piece = np.ones((n, width + 1), np.int8), np.full((n, width + 1), -1, np.int32)
+        for start in range(width):
+            rows = np.arange(np.searchsorted(-sizes, -start))  # longer than start
+            here = score[: len(rows), start]
+            unknown = np.ones(len(rows), bool)
+            state = np.zeros(len(rows), np.int32)
+            for end in range(start + 1, width + 1):
+                code = codes[rows, end - 1]
+                child = self.base[state] + code
+                good = (code > 0) & (self.check[child] == state)
+                rows, state = rows[good], child[good]
+                if not len(rows):
+                    break
+                found = self.value[state]
+                held = found >= 0
+                own, found = rows[held], found[held]
+                total = here[own] + self.weights[found]
+                more = total > score[own, end]
+                own = own[more]
+                score[own, end], piece[own, end], length[own, end] = total[more], found[more], end - start
+                if end == start + 1:
+                    unknown[rows[held]] = False
+            total = here + self.worst
+            own = np.flatnonzero(unknown & (total > score[: len(unknown), start + 1]))
+            score[own, start + 1], piece[own, start + 1], length[own, start + 1] = total[own], -1, 1
+        # Back from the ends; ids of a row stand in reverse.
+        out = np.full((n, width), -2, np.int32)
+        at, rows, step = sizes.copy(), np.arange(n), 0
+        while len(rows):
+            out[rows, width - 1 - step] = piece[rows, at[rows]]
+            at[rows] -= length[rows, at[rows]]
+            rows = rows[at[rows] > 0]
+            step += 1
+        odd = (out == -1).any(axis=1)
+        held = out >= 0
+        joined = out[held].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        ends = np.cumsum(held.sum(axis=1)).tolist()
+        ids = {w: joined[a:b] for w, a, b in zip(words, [0, *ends], ends)}
+        for i in np.flatnonzero(odd).tolist():
+            ids[words[i]] = "".join(map(chr, self.best(words[i])))
+        return ids
+
+    def learn(self, words: set[str]) -> None:
+        """Have the ids of all these segments at hand."""
+        if len(self.kept) >= self.limit:
+            self.older, self.kept = self.kept, {}
+        fresh = []
+        for word in words - self.kept.keys():
+            known = self.older.get(word)
+            if known is not None:
+                self.kept[word] = known
+            elif len(word) <= LONGEST:
+                fresh.append(word)
+            else:
+                self.kept[word] = "".join(map(chr, self.best(word)))
+        if fresh:
+            self.kept.update(self.best_of_many(fresh))
+
+    def encode_many(self, texts: list[str | None]) -> list[str]:
+        """Whole texts' ids, one character each; null and empty texts have none."""
+        out: list[str] = []
+        parts: list[list[str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            own = self.segments.findall(MARK + text.replace(" ", MARK)) if text else []
+            parts.append(own)
+            size += len(own)
+            if size >= SLAB or i == len(texts) - 1:
+                self.learn(set().union(*parts))
+                lookup = self.kept.__getitem__
+                out += ["".join(map(lookup, own)) for own in parts]
+                parts, size = [], 0
+        return out
 
     def encode(self, text: str) -> str:
-        """A whole text's ids, one character each; an empty text has none."""
-        if not text:
-            return ""
-        parts = self.segments.findall(MARK + text.replace(" ", MARK))
-        try:
-            return "".join(map(self.kept.__getitem__, parts))
-        except KeyError:
-            return "".join(map(self.segment, parts))
+        """A whole text's ids."""
+        return self.encode_many([text])[0]
 
     def decode(self, ids: str) -> str:
         """The text of ids: byte runs are joined, markers become spaces, the first marker goes.
@@ -206,7 +300,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
         pieces = piece_model(model or public_pieces())
         drop = {i: None for i in pieces.bytes.values()}
         for batch in batches:
-            ids = [pieces.encode(t or "") for t in batch.column(1).to_pylist()]
+            ids = pieces.encode_many(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -82,6 +82,13 @@ def test_best_path_has_the_largest_sum(model):
         assert total(text) == largest(text)
 
 
+def test_many_segments_at_once(model):
+    rng = random.Random(6)
+    words = {"".join(rng.choices("▁thereing.aéQ😀\x00", k=rng.randint(1, 20))) for _ in range(500)}
+    got = model.best_of_many(sorted(words))
+    assert got == {w: "".join(map(chr, model.best(w))) for w in words}
+
+
 def test_segments_do_not_change_the_path(model):
     for text in TEXTS:
         if text:
