@@ -490,12 +490,8 @@ def combined_parts(t: Tables) -> DataFrame:
     paths = [f"{folder}/{name}" for name in parts]
     for path, rows in zip(paths, parts.values()):
         write_once(rows, path)
-    files = file_counts(combine_parts(t.spark, paths))
-    part = F.regexp_extract("arquivo", r"/(lote_[a-z])/", 1)
-    counts = files.groupBy(part.alias("lote")).agg(F.sum("registros").alias("registros"))
-    salaries = combine_parts(t.spark, paths).agg(F.count("salario").alias("com_salario"))
-    # One row with one number.
-    return running_total(counts, "lote").join(F.broadcast(salaries), F.lit(True))
+    salaries = F.count("salario").alias("com_salario")
+    return file_counts(combine_parts(t.spark, paths), r"/(lote_[a-z])/", salaries)
 
 
 def rebuilt_balances(t: Tables) -> DataFrame:

@@ -404,9 +404,9 @@ FROM integrado GROUP BY ano_mes
 """,
     "incremental_month": "SELECT ano, mes, ano_mes, saldo FROM mensal",
     "combined_parts": """
-SELECT lote, registros, CAST(sum(registros) OVER (ORDER BY lote) AS BIGINT) AS acumulado,
-       CAST((SELECT count(salario) FROM integrado WHERE sexo_bruto = 'O') AS BIGINT) AS com_salario
-FROM (SELECT CASE WHEN sexo_bruto = 'O' THEN 'lote_a' ELSE 'lote_b' END AS lote, count(*) AS registros
+SELECT arquivo, registros, CAST(sum(registros) OVER (ORDER BY arquivo) AS BIGINT) AS acumulado, com_salario
+FROM (SELECT CASE WHEN sexo_bruto = 'O' THEN 'lote_a' ELSE 'lote_b' END AS arquivo, count(*) AS registros,
+             count(salario) FILTER (WHERE sexo_bruto = 'O') AS com_salario
       FROM integrado GROUP BY 1)
 """,
 }

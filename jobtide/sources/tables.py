@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -64,11 +64,15 @@ def combine_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
-def file_counts(table: DataFrame) -> DataFrame:
-    """Records per file of a file scan, with the running total in name order."""
-    per_file = table.groupBy(F.col("_metadata.file_path").alias("arquivo")).agg(
-        F.count("*").alias("registros")
-    )
+def file_counts(table: DataFrame, part: str | None = None, *more: Column) -> DataFrame:
+    """Records per file of a file scan, with the running total in name order.
+
+    ``part`` is a pattern whose first group names what files are counted together;
+    ``more`` are further sums.
+    """
+    path = F.col("_metadata.file_path")
+    name = F.regexp_extract(path, part, 1) if part else path
+    per_file = table.groupBy(name.alias("arquivo")).agg(F.count("*").alias("registros"), *more)
     return running_total(per_file, "arquivo")
 
 

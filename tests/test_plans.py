@@ -104,3 +104,29 @@ def test_hot_keys_are_split(spark, skewed, large_table_joins):
     result = contract.queries()["balance_by_sector"](spark, str(skewed))
     result.collect()
     assert "SortMergeJoin(skew=true)" in plan_of(result)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "first_years_zoom",
+        "sector_three_years",
+        "sector_growth",
+        "uf_ranking",
+        "month_year_matrix",
+        "top_municipalities",
+        "bottom_municipalities",
+        "sector_evolution",
+        "schooling_year_pair",
+    ],
+)
+def test_years_reach_the_scan(spark, name):
+    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+
+
+@pytest.mark.parametrize("name", ["balance_by_sector", "balance_by_phase", "sector_growth", "base_cube_rollups", "domains"])
+def test_movements_are_added_up_before_the_part_join(spark, name):
+    plan = plan_of(contract.queries()[name](spark, FOLDER))
+    below = plan[plan.index("[l_partkey") :]
+    assert "HashAggregate(keys=[ano_mes" in below and "l_partkey" in below[below.index("HashAggregate(keys=[ano_mes") :]
