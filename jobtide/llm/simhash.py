@@ -361,7 +361,8 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
     dropped = ids.where("doc_id <> first").select("doc_id")
     repeated = ids.where("doc_id = first and n > 1").select("doc_id")
-    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    # Sorted and merged at every size: the list of dropped documents grows with the corpus.
+    left = docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if repeated.isEmpty():
         return left
     once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
