@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm import captures, grades, language, line_rules, neighbours, packing, pieces, simhash, suffixes, token_counts
 from jobtide.llm.frames import table
+from jobtide.llm.oracle import ORACLE_SQL
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,23 +108,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "op10_warc": """
-        WITH payloads AS (
-            SELECT page_id,
-                   strlen(coalesce(html, '')) AS payload_bytes,
-                   sha256(coalesce(html, '')) AS payload_digest
-            FROM pages
-        ), firsts AS (
-            SELECT payload_digest, min(page_id) AS first_id FROM payloads GROUP BY payload_digest
-        ), joined AS (
-            SELECT *, payload_bytes >= 100 AND first_id IS NOT NULL
-                      AND page_id IS DISTINCT FROM first_id AS again
-            FROM payloads JOIN firsts USING (payload_digest)
-        )
-        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN again THEN first_id END AS refers_to
-        FROM joined
-    """,
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]
