@@ -104,14 +104,19 @@ class Tables:
         )
 
     def lines(
-        self, accepted_only: bool = False, years: tuple[int | None, int | None] = (None, None)
+        self,
+        accepted_only: bool = False,
+        years: tuple[int | None, int | None] = (None, None),
+        raw: Column | None = None,
     ) -> DataFrame:
-        """Line items as movements without a place.
+        """Line items as movements without a place, those that a predicate on the raw columns chooses.
 
         ``accepted_only`` also filters the raw flag, and ``years`` (first, last) the
         raw date. These reach the scan, unlike filters on what is computed from them.
         """
         lines = self.lineitem
+        if raw is not None:
+            lines = lines.where(raw)
         first, last = years
         if first is not None:
             lines = lines.where(F.col("l_shipdate") >= F.lit(f"{first}-01-01").cast("date"))
@@ -182,15 +187,15 @@ class Tables:
         """Valid movements with derived columns."""
         return derive(self.cleaned(sector), BOOK)
 
-    def lines_with_code(self, chosen: Column | None = None) -> DataFrame:
+    def lines_with_code(self, raw: Column | None = None) -> DataFrame:
         """Movements, the chosen ones if any, with what their order says about them."""
         orders = broadcast_if_small(self.orders_with_code(), self.orders)
-        lines = self.lines() if chosen is None else self.lines().where(chosen)
+        lines = self.lines(raw=raw)
         return lines.join(orders, "l_orderkey", "left")
 
-    def movements_with_order_code(self, chosen: Column | None = None) -> DataFrame:
+    def movements_with_order_code(self, raw: Column | None = None) -> DataFrame:
         """Movements in the stored form: month as text, municipality as text code."""
-        return self.lines_with_code(chosen).select(
+        return self.lines_with_code(raw).select(
             F.date_format("ano_mes", "yyyyMM").alias("ano_mes"),
             zero_fill(F.col("cod_municipio").cast("string"), 6).alias("cod_municipio"),
             "tipo_mov",

@@ -427,7 +427,7 @@ def transformed_profile(t: Tables) -> DataFrame:
 def delimited_months(t: Tables) -> DataFrame:
     """The fact written as two sets of delimited files with different columns, and read back."""
     folder = shared_folder(t.spark, "texto")
-    male = t.movements_with_order_code(F.col("sexo") == "O").select(
+    male = t.movements_with_order_code(F.col("l_linestatus") == "O").select(
         F.col("ano_mes").alias("competênciamov"),
         F.col("cod_municipio").alias("município"),
         F.col("tipo_mov").alias("saldomovimentação"),
@@ -466,8 +466,10 @@ def incremental_month(t: Tables) -> DataFrame:
         cleaned = clean(placed, BOOK, names_are_tidy=True)
         return cleaned.withColumn("saldo", F.col("saldo") * F.col("vezes"))
 
-    early = F.coalesce(F.col("ano_mes") < f"{LAST_ARRIVAL_YEAR}-01-01", F.lit(True))
-    for number, months in enumerate((early, ~early)):
+    # On the raw date, so that each arrival reads its own part of the fact.
+    turn = F.lit(f"{LAST_ARRIVAL_YEAR}-01-01").cast("date")
+    shipped = F.col("l_shipdate")
+    for number, months in enumerate((shipped.isNull() | (shipped < turn), shipped >= turn)):
         arrived = conform_stored(t.movements_with_order_code(months))
         write_once(arrived, f"{folder}/movimentos/chegada={number}")
         refresh_monthly(
