@@ -17,7 +17,7 @@ from jobtide.llm.bpe import public_vocabulary, byte_encoder
 from jobtide.llm.frames import pick, stored
 
 # Lengths of one block of the suffix sums; blocks are summed first, then lengths within each.
-BLOCK = 1024
+BLOCK = 64
 
 
 def encoded_lengths(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
