@@ -36,9 +36,9 @@ class Settings:
     sample: int = 24_000  # rated documents to fit on, at most
     buckets: int = 1 << 20
     least_documents: int = 6  # rated documents that must hold a feature
-    association: float = 0.1  # least correlation of a feature with reaching a grade
-    deviation: float = 4.0  # the same in standard deviations, for small samples
-    ridge: float = 0.05
+    deviation: float = 4.0  # least deviation of a feature from chance, in standard deviations
+    tested: int = 10_000  # features up to which that bar holds; it rises slowly beyond
+    ridge: float = 0.05  # of the feature that changes the odds most; weaker ones have more
     rounds: int = 800
     rate: float = 0.15
 
@@ -67,32 +67,52 @@ def features(text: str | None, buckets: int) -> np.ndarray:
 
 def telling(
     rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, settings: Settings
-) -> np.ndarray:
-    """Features whose presence goes with reaching some grade, by (row, column) pairs.
+) -> tuple[np.ndarray, np.ndarray]:
+    """Features whose presence goes with reaching some grade, by (row, column) pairs, and their effects.
 
-    Words of one document only would be learned by heart; they are left out.
+    The bar is one of significance alone, so with more ratings rarer features pass. It is
+    `deviation` for up to `tested` features; beyond, it rises so that about as many pass by
+    chance (a tail of exp(-z*z/2)): 5.03 at 2^20 features. Words of few documents would be
+    learned by heart; they are left out. The effect is the largest change of the logarithm of
+    the odds to reach a grade.
     """
     n = len(grades)
     held = np.bincount(columns, minlength=settings.buckets)
-    strongest = np.zeros(settings.buckets)
+    strongest, effect = np.zeros(settings.buckets), np.zeros(settings.buckets)
     for k in range(1, int(grades.max()) + 1):
         reached = (grades >= k).astype(float)
         share = reached.mean()
-        more = np.bincount(columns, reached[rows], settings.buckets) - held * share
+        good = np.bincount(columns, reached[rows], settings.buckets)
         spread = np.sqrt(np.maximum(held * (1 - held / n), 1e-9) * share * (1 - share))
-        strongest = np.maximum(strongest, np.abs(more) / spread)
-    least = max(settings.association * np.sqrt(n), settings.deviation)
-    return np.flatnonzero((held >= settings.least_documents) & (held < n) & (strongest >= least))
+        strongest = np.maximum(strongest, np.abs(good - held * share) / spread)
+        other = reached.sum() - good
+        odds = np.log((good + 0.5) / (held - good + 0.5)) - np.log((other + 0.5) / (n - held - other + 0.5))
+        effect = np.maximum(effect, np.abs(odds))
+    candidates = (held >= settings.least_documents) & (held < n)
+    surplus = max(1.0, np.count_nonzero(candidates) / settings.tested)
+    least = np.sqrt(settings.deviation**2 + 2 * np.log(surplus))
+    chosen = np.flatnonzero(candidates & (strongest >= least))
+    return chosen, effect[chosen]
 
 
 def fit(
-    rows: np.ndarray, columns: np.ndarray, width: int, grades: np.ndarray, settings: Settings
+    rows: np.ndarray,
+    columns: np.ndarray,
+    width: int,
+    grades: np.ndarray,
+    settings: Settings,
+    effects: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds for documents given as (row, column) pairs and grades 0..K.
 
     Thresholds are t_1 and the logarithms of the steps to the next ones, so they stay in
-    order. Minimised by Adam steps on the whole sample; everything is deterministic.
+    order. Minimised by Adam steps on the whole sample; everything is deterministic. With
+    `effects` the ridge grows with the inverse square of a feature's effect, so that many
+    weak features do not outvote a rare telling one.
     """
+    ridge = np.full(width, settings.ridge)
+    if effects is not None and width:
+        ridge *= (effects.max() / np.maximum(effects, 1e-3)) ** 2
     top = int(grades.max())
     share = np.clip([(grades >= k).mean() for k in range(1, top + 1)], 1e-3, 1 - 1e-3)
     first = -np.log(share / (1 - share))
@@ -117,7 +137,7 @@ def fit(
         for k in range(top):
             by_cut[k] = (up[grades == k + 1].sum() - down[grades == k].sum()) / n
         slopes = np.empty_like(theta)
-        slopes[:width] = np.bincount(columns, by_score[rows], width) + settings.ridge * weights / n
+        slopes[:width] = np.bincount(columns, by_score[rows], width) + ridge * weights / n
         slopes[width] = by_cut.sum()
         slopes[width + 1 :] = by_cut[::-1].cumsum()[::-1][1:] * steps
         mean += 0.1 * (slopes - mean)
@@ -170,11 +190,11 @@ def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings())
         sizes = rated["features"].map(len).to_numpy()
         flat = np.concatenate(rated["features"].to_list())
         rows = np.repeat(np.arange(len(rated)), sizes)
-        common = telling(rows, flat, grades, settings)
+        common, effects = telling(rows, flat, grades, settings)
         number = np.full(settings.buckets, -1)
         number[common] = np.arange(len(common))
         use = number[flat] >= 0
-        weights, cuts = fit(rows[use], number[flat[use]], len(common), grades, settings)
+        weights, cuts = fit(rows[use], number[flat[use]], len(common), grades, settings, effects)
         yield pd.DataFrame({"kind": "weight", "number": common, "value": weights})
         yield pd.DataFrame({"kind": "cut", "number": present[1:], "value": cuts})
         yield pd.DataFrame({"kind": "least", "number": present[:1], "value": 0.0})
