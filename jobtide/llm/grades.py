@@ -26,6 +26,7 @@ from jobtide.llm.frames import pick, stored, utf8
 
 # Bytes of the word beginnings that are features beside the words.
 STEMS = (4, 5, 6)
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKENS = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
 
 
@@ -51,12 +52,12 @@ def features(text: str | None, buckets: int) -> np.ndarray:
     kinds = set(tokens)
     n = max(len(tokens), 1)
     letters = max(len(raw) - raw.count(b" "), 1)
-    capitals = sum(a != b for a, b in zip(raw[:4096], low[:4096])) if raw != low else 0
+    capitals = len(raw) - len(raw.translate(None, CAPITALS))
     symbols = len(raw) - len(raw.translate(None, b"#*$%&|<>!"))
     marks = [
         b"\x00distinct %d" % (20 * len(kinds) // n if n > 40 else -1),
         b"\x00symbols %d" % min(20 * symbols // n, 20),
-        b"\x00capitals %d" % (10 * capitals // min(letters, 4096)),
+        b"\x00capitals %d" % (10 * capitals // letters),
         b"\x00size %d" % n.bit_length(),
     ]
     stems = {b"\x01" + k[:size] for k in kinds for size in STEMS if len(k) > size}

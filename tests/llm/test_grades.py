@@ -105,3 +105,11 @@ def test_odd_rows(spark):
 def test_features_are_sorted_and_distinct(text):
     found = grades.features(text, 1 << 20)
     assert len(found) and np.all(np.diff(found) > 0)
+
+
+def test_capitals_count_wherever_they_stand():
+    calm, loud = "quiet words here " * 400, "SHOUTED WORDS HERE " * 400
+    first, last = grades.features(loud + calm, 1 << 20), grades.features(calm + loud, 1 << 20)
+    assert first.tolist() == last.tolist()
+    only = grades.features((loud + calm).lower(), 1 << 20)
+    assert len(np.setdiff1d(first, only)) == 1  # the mark of capitals
