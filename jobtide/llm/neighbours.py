@@ -10,7 +10,9 @@ meets on the whole vectors, until the chi-square test says that with probability
 The upper levels of the tree, fitted on a bounded sample, part all vectors into cells;
 every vector is indexed. Each shard of a cell builds its lower levels itself. A query
 searches its own cell first and then the cells that pass the test against the distance it
-brings along. Only the queries travel; the vectors stay in their buckets.
+brings along. Only the queries travel; the vectors stay in their buckets, unless a shard
+is asked by more than `block` queries: then they come in blocks, each a group of its own
+with a copy of the shard's vectors.
 
 Hot vectors: of equal vectors only the `k + 1` smallest ids can be in any answer, so every
 task passes on no more, and equal queries are searched once.
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.frames import bucketed, pick, stored
+from jobtide.llm.simhash import mix
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,7 @@ class Settings:
     sample: int = 16_384  # vectors that the upper levels are fitted on, at most
     shard: int = 8_192  # vectors of a shard, about
     leaf: int = 128
+    block: int = 4_096  # queries that one task holds against a shard at once, about
 
 
 def chi_square(x: float, freedom: int) -> float:
@@ -266,8 +270,11 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
     # Equal queries are searched once, under the smallest id.
     queries = stored(asked.groupBy("vector").agg(F.min("vec_id").alias("query")), "distinct-queries")
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Copies of the queries for their own cell, or for the others that pass the test."""
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int], list[int]]]:
+        """Places of queries in their batch and shards to visit, some thousands at a time.
+
+        A query visits its own cell, or the others that pass the test.
+        """
         for batch in batches:
             own = matrix(batch.column(0), dimensions) if batch.num_rows else np.zeros((0, dimensions))
             bounds = batch.column(2).to_numpy(zero_copy_only=False)
@@ -284,11 +291,16 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
                 for cell in visit.tolist():
                     which += [i] * salts
                     where += range(cell * salts, (cell + 1) * salts)
-            take = pa.array(which, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i).take(take) for i in range(3)], pa.array(where, pa.int64())],
-                ["vector", "query", "bound", "shard"],
-            )
+                    if len(which) >= settings.block:
+                        yield batch, which, where
+                        which, where = [], []
+            if which:
+                yield batch, which, where
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, where in wanted(batches):
+            shards, asked = np.unique(where, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(asked)], ["shard", "asked"])
 
     def look(own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -305,10 +317,48 @@ def search(vectors: DataFrame, is_query: Column, settings: Settings = Settings()
         return pd.concat(out) if out else pd.DataFrame({"query": [], "vec_id": [], "score": []})
 
     def visit(asking: DataFrame) -> DataFrame:
-        copies = asking.select("vector", "query", "bound").mapInArrow(
-            ask, "vector array<double>, query bigint, bound double, shard bigint"
+        asking = asking.select("vector", "query", "bound")
+        many = (
+            asking.mapInArrow(count, "shard bigint, asked bigint")
+            .groupBy("shard")
+            .agg(F.sum("asked").alias("asked"))
+            .where(F.col("asked") > settings.block)
+            .collect()  # at most one row for each shard
+        )
+        blocks = np.ones(len(cells) * salts, np.int64)
+        for shard, asked in many:
+            blocks[shard] = -(-asked // settings.block)
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Copies of the queries for the shards, each in the block of its id."""
+            for batch, which, where in wanted(batches):
+                take = pa.array(which, pa.int64())
+                query = mix(batch.column(1).to_numpy().view(np.uint64)[which])
+                block = (query % blocks[where].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i).take(take) for i in range(3)], pa.array(where, pa.int64()), pa.array(block)],
+                    ["vector", "query", "bound", "shard", "block"],
+                )
+
+        def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """The shards' vectors once for each block of queries."""
+            for batch in batches:
+                times = blocks[batch.column(2).to_numpy()]
+                for number in range(int(times.max(initial=0))):
+                    part = batch.filter(pa.array(times > number))
+                    block = pa.array(np.full(part.num_rows, number))
+                    yield pa.RecordBatch.from_arrays([*part.columns, block], ["vec_id", "vector", "shard", "block"])
+
+        kind = "vector array<double>, query bigint, bound double, shard bigint, block bigint"
+        copies = asking.mapInArrow(ask, kind)
+        if not many:
+            return index.groupBy("shard").cogroup(copies.groupBy("shard")).applyInPandas(look, FOUND)
+        repeated = index.select("vec_id", "vector", "shard").mapInArrow(
+            repeat, "vec_id bigint, vector array<double>, shard bigint, block bigint"
+        )
+        return (
+            repeated.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInPandas(look, FOUND)
         )
-        return index.groupBy("shard").cogroup(copies.groupBy("shard")).applyInPandas(look, FOUND)
 
     first = stored(visit(queries.withColumn("bound", F.lit(-1.0))), "own-cells")
     nearest = Window.partitionBy("query").orderBy("score", "vec_id")

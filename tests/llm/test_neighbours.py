@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from jobtide.llm import neighbours, queries
@@ -59,6 +60,27 @@ def test_without_stopping_early_all_is_exact(spark):
     assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in r] for q, r in want.items()}
 
 
+def test_queries_come_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    data = rng.standard_normal((3_000, 16))
+    frame = spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>"
+    ).repartition(4)
+    largest = []
+    real = GroupedData.cogroup
+
+    def cogroup(index, copies):
+        largest.append(copies._df.groupBy("shard", "block").count().agg(F.max("count")).first()[0])
+        return real(index, copies)
+
+    monkeypatch.setattr(GroupedData, "cogroup", cogroup)
+    settings = neighbours.Settings(certainty=1 - 1e-12, shard=500, leaf=32, block=10)
+    got = answers(neighbours.search(frame, F.col("vec_id") % 100 == 0, settings))
+    assert len(largest) == 2 and max(largest) <= 20  # of 30 queries, most of which visit every shard
+    want = plain(np.arange(3_000), data, 10)
+    assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in r] for q, r in want.items()}
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
