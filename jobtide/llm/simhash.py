@@ -14,9 +14,10 @@ result. Each fingerprint is filed under its value in every part, and probes with
 values within t_p of it. Fingerprints that meet are verified on all 64 bits.
 
 Hot values: equal fingerprints are one row from the start. A part value that more than
-`split` rows share is filed anew under that value and a second pigeonhole over the other
-bits, and so on, until groups are small or no bits are left to part. Within a group only
-a spanning set of links is written, never all pairs.
+`split` rows share is filed anew under that value and a second pigeonhole over the bits
+parted otherwise, three times at most. What is hot even then is compared block against
+block, each two blocks as a group of about `split` rows. Within a group only a spanning
+set of links is written, never all pairs.
 """
 
 from __future__ import annotations
@@ -292,6 +293,20 @@ def links(distinct: DataFrame, settings: Settings = Settings()) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield solve(rest)
 
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        """Rows of hot places, each with its block's number in a place for every two blocks."""
+        half = max(settings.split // 2, 1)
+        parted = rows.withColumn("blocks", F.ceil(F.col("n") / half)).withColumn(
+            "own", F.pmod(F.xxhash64("fingerprint", F.lit(11)), F.col("blocks"))
+        )
+        others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x != F.col("own"))
+        both = parted.withColumn("other", F.explode(others))
+        return both.select(
+            F.xxhash64("place", F.least("own", "other"), F.greatest("own", "other")).alias("place"),
+            "fingerprint",
+            "probe",
+        )
+
     rows = distinct.select(
         "fingerprint", F.lit(0).cast("long").alias("place"), F.lit(False).alias("probe")
     )
@@ -304,9 +319,10 @@ def links(distinct: DataFrame, settings: Settings = Settings()) -> DataFrame:
         sizes = filed.groupBy("place").agg(F.count("*").alias("n"))
         hot = stored(sizes.where(F.col("n") > settings.split), "hot-places")
         any_hot = not hot.isEmpty()
-        used = {b for group, _ in parts for b in group}
-        last = level >= 3 or len(used) < len(bits)
-        calm = filed if not any_hot or last else filed.join(hot, "place", "left_anti")
+        last = level >= 3
+        calm = filed.join(hot, "place", "left_anti") if any_hot else filed
+        if any_hot and last:
+            calm = calm.select("place", "fingerprint", "probe").union(in_blocks(filed.join(hot, "place")))
         edges = (
             calm.repartition("place")
             .sortWithinPartitions("place", "probe", "fingerprint")

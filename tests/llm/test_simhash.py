@@ -89,6 +89,24 @@ def test_hot_values_are_parted_again(spark):
     links_match(spark, sorted(set(values)), simhash.Settings(split=40))
 
 
+def test_no_group_is_hot(spark, monkeypatch):
+    rng = random.Random(6)
+    # A ball that no parting of the bits takes apart.
+    values = planted(rng, 1, 300, 3) + [rng.getrandbits(64) for _ in range(50)]
+    largest = []
+    kind = type(spark.range(0))
+    real = kind.repartition
+
+    def repartition(frame, *keys):
+        if keys == ("place",):
+            largest.append(max([r["count"] for r in frame.groupBy("place").count().collect()], default=0))
+        return real(frame, *keys)
+
+    monkeypatch.setattr(kind, "repartition", repartition)
+    links_match(spark, sorted(set(values)), simhash.Settings(split=60))
+    assert len(largest) == 4 and max(largest) <= 120
+
+
 def test_layout_covers_the_distance():
     rng = np.random.default_rng(1)
     for total in (10, 10_000, 1e9):
