@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from jobtide.llm.components import components
 from jobtide.llm.frames import pick, stored, utf8
@@ -348,6 +349,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     is null only if no document of the component has an id. Repeated rows fall into one
     component. An empty table gives no rows. Other columns are left out.
     """
+    prints, named = components_of(docs, settings)
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def components_of(docs: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, fingerprint), and (fingerprint, component_id, root) of each fingerprint."""
     prints = stored(fingerprints(docs, settings), "fingerprints")
     least = stored(
         prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints"
@@ -360,29 +367,51 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "members",
     )
     ids = stored(member.groupBy("root").agg(F.min("least_id").alias("component_id")), "component-ids")
-    named = stored(member.join(ids, "root").select("fingerprint", "component_id"), "named-fingerprints")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = member.join(ids, "root").select("fingerprint", "component_id", "root")
+    return prints, stored(named, "named-fingerprints")
 
 
 def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of `docs` with one document of each component, that of the smallest doc_id.
+    """The rows of `docs` with one row of each component, that of the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays. Rows without a doc_id cannot be named and
-    stay. All columns stay as they are.
+    Of rows with that doc_id in the component, the one whose text has the smallest SHA-256
+    stays. Rows without a doc_id cannot be named and stay. All columns stay as they are.
     """
-    found = near_duplicates(docs, settings).where("doc_id is not null")
+    prints, named = components_of(docs, settings)
+    found = prints.join(named, "fingerprint").where("doc_id is not null")
     ids = stored(
         found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")),
         "members-by-id",
     )
-    dropped = ids.where("doc_id <> first").select("doc_id")
-    repeated = ids.where("doc_id = first and n > 1").select("doc_id")
+    # Ids of several rows are decided by row, as their texts may be in different components.
+    dropped = ids.where("doc_id <> first and n = 1").select("doc_id")
+    repeated = ids.where("n > 1").select("doc_id")
     # Sorted and merged at every size: the list of dropped documents grows with the corpus.
     left = docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     if repeated.isEmpty():
         return left
-    once = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
+    several = docs.join(repeated.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
+    rows = several.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*docs.columns).alias("row")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [fingerprint(t, settings.shingle, settings.seed) for t in batch.column(1).to_pylist()]
+            own = pa.array(np.array(values, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "fingerprint"])
+
+    kind = StructType([*rows.schema.fields, StructField("fingerprint", LongType())])
+    once = (
+        rows.mapInArrow(run, kind)
+        .join(named.where("component_id is not null"), "fingerprint")
+        .where("doc_id = component_id")
+        .groupBy("root")
+        .agg(F.min_by("row", F.coalesce(F.sha2("text", 256), F.lit(""))).alias("row"))
+        .select("row.*")
+    )
+    rest = left.join(repeated.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    return rest.union(once)
 
 
 def hexadecimal(fingerprint: str) -> Column:

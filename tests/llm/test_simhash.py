@@ -148,3 +148,12 @@ def test_odd_rows(spark):
     kept = simhash.keep_first(frame)
     assert kept.columns == frame.columns
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [3, 8, None, None]
+
+
+def test_texts_that_share_an_id_are_kept_by_component(spark):
+    one, two = "some words that are the same in each of these rows", "an entirely other text without any near copy"
+    rows = [(3, one, 1), (5, one, 2), (5, two, 3), (7, "lonely words alone", 4), (7, "further unlike things here", 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, fingerprint int")
+    kept = simhash.keep_first(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.fingerprint for r in kept.collect()) == [1, 3, 4, 5]
