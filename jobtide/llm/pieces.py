@@ -315,6 +315,25 @@ def encode_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
     )
 
 
+def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """`encode_pieces` with a further column `decoded`, the text that the ids give back.
+
+    It is decoded from the stored form of the ids alone. Null and empty texts give an empty one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_model(model or public_pieces())
+        for batch in batches:
+            texts = [pieces.decode(raw.decode("utf-32-le", "surrogatepass")) for raw in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_byte_pieces", "ids", "decoded"]
+            )
+
+    return encode_pieces(docs, model).mapInArrow(
+        run, "doc_id long, n_byte_pieces long, ids binary, decoded string"
+    )
+
+
 def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give an empty text."""
 

@@ -54,12 +54,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of all documents."""
-    return pieces.encode_pieces(table(spark, sf_dir, "documents")).select(
+    """Pieces of all documents and the texts decoded from them."""
+    return pieces.round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
         "n_byte_pieces",
         F.crc32("ids").alias("ids_crc32"),
+        F.char_length("decoded").cast("long").alias("n_decoded_chars"),
+        F.crc32(F.encode("decoded", "utf-8")).alias("decoded_crc32"),
     )
 
 

@@ -2,6 +2,7 @@
 
 import random
 from functools import lru_cache
+from zlib import crc32
 
 import pytest
 import sentencepiece as spm
@@ -120,3 +121,11 @@ def test_odd_rows(spark):
     assert pieces.encode_pieces(frame.limit(0)).collect() == []
     empty = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert pieces.decode_pieces(empty).first().text == ""
+
+
+def test_query_decodes_all_documents(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = queries.op5_sentencepiece(spark, FOLDER).collect()
+    assert {r.doc_id: (r.n_decoded_chars, r.decoded_crc32) for r in rows} == {
+        i: (len(t), crc32(t.encode())) for i, t in texts.items()
+    }
