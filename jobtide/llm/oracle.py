@@ -110,8 +110,140 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM joined
 """
 
+# The CRC-32 of a text's bytes, a bit at a time; takes the text as hexadecimal digits.
+def _crc32(digits: str) -> str:
+    byte = f"CAST('0x' || substring({digits}, 2 * i + 1, 2) AS BIGINT)"
+    bits = f"flatten(list_transform(range(length({digits}) // 2), lambda i: list_transform(range(8), lambda b: ({byte} >> b) & 1)))"
+    step = "xor(crc >> 1, CASE WHEN xor(crc & 1, b) = 1 THEN 3988292384 ELSE 0 END)"
+    return f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda crc, b: {step}), 4294967295)"
+
+
+PERIODIC_RUNS = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+         CASE WHEN doc_id IS NOT NULL THEN {_crc32("hex(encode(CAST(doc_id AS VARCHAR)))")} END AS h
+  FROM documents
+), placed AS (
+  SELECT *, len(words) AS n, CASE WHEN len(words) > 0 THEN (h // 10) % len(words) END AS a FROM texts
+), turned AS (
+  SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM placed
+), looped AS (
+  SELECT row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+         THEN list_transform(range(n), lambda i: CASE WHEN i >= a THEN words[1 + a + (i - a) % p] ELSE words[1 + i] END)
+         ELSE words END AS words
+  FROM turned
+), flat AS (
+  SELECT row, n, unnest(range(n)) AS i, unnest(words) AS word FROM looped
+), matched AS (
+  SELECT x.row, x.i, x.i - y.i AS lag
+  FROM flat x JOIN flat y ON x.row = y.row AND x.word = y.word AND x.i > y.i AND 4 * (x.i - y.i) <= x.n
+), chained AS (
+  SELECT row, lag, i, i - row_number() OVER (PARTITION BY row, lag ORDER BY i) AS chain FROM matched
+), stretches AS (
+  SELECT row, min(i) - lag AS start, count(*) + lag AS length, lag FROM chained
+  GROUP BY row, lag, chain HAVING count(*) + lag >= greatest(6, 4 * lag)
+), runs AS (
+  SELECT row, start, length, min(lag) AS period FROM stretches GROUP BY row, start, length
+), summed AS (
+  SELECT row, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         arg_min({{'s': start, 'l': length, 'p': period}}, (-length, start, period)) AS longest
+  FROM runs GROUP BY row
+), dropped AS (
+  SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs
+), left_over AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS collapsed FROM flat ANTI JOIN dropped USING (row, i) GROUP BY row
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, coalesce(n_runs, 0) AS n_runs,
+       CAST(longest.s AS BIGINT) AS start, CAST(longest.l AS BIGINT) AS length,
+       CAST(longest.p AS BIGINT) AS period,
+       CAST(1000 * longest.l // longest.p AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256,
+       CAST(n - (SELECT count(*) FROM dropped d WHERE d.row = looped.row) AS BIGINT) AS n_kept,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM looped LEFT JOIN summed USING (row) LEFT JOIN left_over USING (row)
+"""
+
+RESAMPLING = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, 'd' AS side, doc_id, text FROM documents
+  UNION ALL SELECT row_number() OVER (), 'b', NULL, text FROM benchmark
+), worded AS (
+  SELECT row, side, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM texts
+), flat AS (
+  SELECT row, side, unnest(words) AS word FROM worded
+), hashed AS (
+  SELECT word, {_crc32("digits")} % 10000 AS bucket
+  FROM (SELECT word, hex(encode(word)) AS digits FROM flat GROUP BY word)
+), counts AS (
+  SELECT bucket, count(*) FILTER (WHERE side = 'd') AS s, count(*) FILTER (WHERE side = 'b') AS t
+  FROM flat JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT CAST(sum(s) AS BIGINT) AS all_s, CAST(sum(t) AS BIGINT) AS all_t FROM counts
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE
+                                      / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts, totals
+), weights AS (
+  SELECT row, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight
+  FROM flat JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+         + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8)
+                                          AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM worded LEFT JOIN weights USING (row) WHERE side = 'd'
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+FROM placed
+"""
+
+MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+         left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 16) AS key
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight
+  FROM sized GROUP BY source
+), filled AS (
+  SELECT *, 2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS budget,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left,
+         coalesce(sum(2.0::DOUBLE * source_size) OVER before, 0) AS spent, count(*) OVER before AS place
+  FROM sources
+  WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT arg_min((budget - spent) / weight_left, place) AS height FROM filled
+  WHERE most >= (budget - spent) / weight_left * weight
+), wanted AS (
+  SELECT source, source_size, least(most, height * weight) AS target FROM filled, level
+), budgets AS (
+  SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs
+  FROM wanted
+), placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size DESC
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before))
+            AS BIGINT) AS taken
+FROM placed JOIN budgets ON placed.source IS NOT DISTINCT FROM budgets.source
+"""
+
 ORACLE_SQL = {
     "op3_quality_rules": QUALITY_RULES,
     "op9_suffix_dedup": SUFFIX_DEDUP,
     "op10_warc": WARC,
+    "op11_periodic_runs": PERIODIC_RUNS,
+    "op12_resampling": RESAMPLING,
+    "op13_mixing": MIXING,
 }

@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import captures, grades, language, line_rules, neighbours, packing, pieces, simhash, suffixes, token_counts
-from jobtide.llm.frames import table
+from jobtide.llm import (
+    captures,
+    grades,
+    language,
+    line_rules,
+    mixing,
+    neighbours,
+    packing,
+    pieces,
+    resample,
+    runs,
+    simhash,
+    suffixes,
+    token_counts,
+)
+from jobtide.llm.frames import pick, table
 from jobtide.llm.oracle import ORACLE_SQL
 
 
@@ -97,6 +111,44 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """`docs` (doc_id, text) with every tenth text's words repeating from some place on, by a hash of the id.
+
+    A text without words, or without an id, stays as it is.
+    """
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
+    words = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0)))
+    )
+    placed = words.withColumns({"n": F.size("words"), "g": F.floor(F.col("h") / 10)})
+    placed = placed.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    turns = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    unit = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, turns)), F.lit(1), F.col("n") - F.col("a"))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which are made to repeat."""
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    return runs.periodic_runs(looped(docs)).drop("runs")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents, drawn towards the words of the benchmark."""
+    docs, target = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resample.resample(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of one and a half times all words takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_neighbours": op2_neighbours,
@@ -108,6 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_resampling": op12_resampling,
+    "op13_mixing": op13_mixing,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

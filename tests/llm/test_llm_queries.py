@@ -19,6 +19,6 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
     assert 4 <= len(corpus_pipeline.STAGES) <= 5

@@ -1,0 +1,93 @@
+"""Mixing against plain code."""
+
+import hashlib
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from jobtide.llm import mixing as m
+
+
+def plain(docs, cycle=(3, 1, 2), share=1.5, times=2):
+    docs = [(i, s, len((t or "").split())) for i, s, t in docs]
+    size = Counter()
+    for _, s, n in docs:
+        size[s] += n
+    order = sorted(size, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: cycle[k % len(cycle)] for k, s in enumerate(order)}
+    budget, full = share * sum(size.values()), set()
+    while True:
+        left = [s for s in order if s not in full]
+        if not left:
+            break
+        level = (budget - sum(times * size[s] for s in full)) / sum(weight[s] for s in left)
+        more = {s for s in left if level * weight[s] > times * size[s]}
+        if not more:
+            break
+        full |= more
+    target = {s: float(times * size[s]) if s in full else level * weight[s] for s in order}
+    by_source = defaultdict(list)
+    for i, s, n in docs:
+        key = hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:16]
+        by_source[s].append((key, i or 0, -n, i, n))
+    out = Counter()
+    for s, own in by_source.items():
+        words = math.floor(target[s])
+        epochs, rest = divmod(words, size[s]) if size[s] else (0, 0)
+        for *_, i, n in sorted(own, key=lambda x: x[:3]):
+            cut = max(0, min(n, rest))
+            rest -= cut
+            out[i, s, n, size[s], round(target[s], 6), epochs * n + cut] += 1
+    return out
+
+
+def documents():
+    rng = random.Random(8)
+    names = ["hot"] * 6 + ["a", "b", "ç", "Z", "𝒳", "～", None, "", "tiny"]
+    docs = [(i, s, "w " * (rng.randrange(40) if s != "tiny" else 1)) for i in range(1500) for s in [rng.choice(names)]]
+    return docs + [docs[3], docs[3], (3, docs[3][1], "u v"), (None, "a", "x y"), (2001, "b", None), (2002, "nothing", ""), (2003, "b", " \t ")]
+
+
+@pytest.mark.parametrize(("cycle", "share"), [((3, 1, 2), 1.5), ((1,), 0.3), ((5, 1), 2.0), ((3, 1, 2), 1.97)])
+def test_mix_matches_plain_code(spark, cycle, share):
+    docs = documents()
+    frame = spark.createDataFrame(docs, "doc_id long, source string, text string").repartition(7)
+    found = m.mix(frame, cycle, share)
+    rows = Counter((r.doc_id, r.source, r.size, r.source_size, round(r.target, 6), r.taken) for r in found.collect())
+    assert rows == plain(docs, cycle, share)
+    taken, target = Counter(), {}
+    for (_, s, n, _, t, words), k in rows.items():
+        taken[s] += words * k
+        target[s] = t
+        assert 0 <= words <= 2 * n
+    assert all(abs(taken[s] - target[s]) < 1 for s in target)
+
+
+def test_runs_agree_whatever_the_partitions(spark):
+    docs = documents()
+    frame = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    one, other = (Counter(map(tuple, m.mix(f).collect())) for f in (frame.coalesce(1), frame.repartition(9)))
+    assert one == other
+
+
+def test_texts_of_a_mix(spark):
+    docs = [(i, "s" if i % 3 else "t", " ".join(f"w{j}" for j in range(i % 7))) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    plan = m.mix(frame)
+    words = Counter()
+    for row in m.mixed_texts(frame, plan).collect():
+        whole = docs[row.doc_id][2].split()
+        assert row.text.split() == whole[: len(row.text.split())]
+        words[row.doc_id] += len(row.text.split())
+    assert words == Counter({r.doc_id: r.taken for r in plan.collect() if r.taken})
+
+
+def test_empty_table_without_words_and_clashing_names(spark):
+    assert m.mix(spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
+    blank = spark.createDataFrame([(1, "a", None), (2, None, "")], "doc_id long, source string, text string")
+    assert {(r.doc_id, r.size, r.target, r.taken) for r in m.mix(blank).collect()} == {(1, 0, 0.0, 0), (2, 0, 0.0, 0)}
+    clash = spark.createDataFrame([(1, "a", "x y", "S", 5)], "doc_id long, source string, text string, d string, e int")
+    clash = clash.toDF("doc_id", "source", "text", "SOURCE", "before")
+    assert [(r.source, r.size, r.taken) for r in m.mix(clash).collect()] == [("a", 2, 3)]
