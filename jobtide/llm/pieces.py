@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from jobtide.llm.frames import pick
+from jobtide.llm.words import as_strings, slabs
 
 MARK = "▁"
 BYTE = re.compile("<0x([0-9A-F]{2})>")
 # How far below the least score a character outside all pieces lies.
 UNKNOWN_PENALTY = 10.0
-# Characters of a segment that is searched together with others, and segments of a group.
-LONGEST, SLAB = 32, 200_000
+# Characters of a segment that is searched together with others, segments of a group, and bytes of
+# the texts that are encoded together.
+LONGEST, SLAB, SLAB_BYTES = 32, 50_000, 1 << 20
 
 
 class DoubleArray:
@@ -96,7 +98,7 @@ class DoubleArray:
 class PieceModel:
     """The pieces of a model file with their scores."""
 
-    def __init__(self, path: str, limit: int = 350_000) -> None:
+    def __init__(self, path: str, limit: int = 100_000) -> None:
         import sentencepiece as spm
 
         reader = spm.SentencePieceProcessor(model_file=path)
@@ -126,7 +128,7 @@ class PieceModel:
         self.older: dict[str, str] = {}
         self.limit = limit
         self.base, self.check, self.value = (
-            np.array(x, np.int32) for x in (self.trie.base, self.trie.check, self.trie.value)
+            np.frombuffer(x, np.int32) for x in (self.trie.base, self.trie.check, self.trie.value)
         )
         self.weights = np.array(self.scores)
 
@@ -293,49 +295,51 @@ def encode_pieces(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     ids: little-endian unsigned 32-bit integers as binary; n_byte_pieces counts those from
     byte fallback. Null and empty texts have no ids. Null doc_ids stay null, repeated rows
-    are encoded each, an empty table gives no rows. Other columns are left out.
+    are encoded each, an empty table gives no rows. Other columns are left out. Texts are
+    encoded in slabs of bounded bytes; a longer text is one slab.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = piece_model(model or public_pieces())
-        drop = {i: None for i in pieces.bytes.values()}
-        for batch in batches:
-            ids = pieces.encode_many(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(i) - len(i.translate(drop)) for i in ids], pa.int64()),
-                    pa.array([i.encode("utf-32-le", "surrogatepass") for i in ids], pa.binary()),
-                ],
-                ["doc_id", "n_byte_pieces", "ids"],
-            )
-
-    return pick(docs, doc_id="long", text="string").mapInArrow(
-        run, "doc_id long, n_byte_pieces long, ids binary"
-    )
+    return _coded(docs, model, False)
 
 
 def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     """`encode_pieces` with a further column `decoded`, the text that the ids give back.
 
-    It is decoded from the stored form of the ids alone. Null and empty texts give an empty one.
+    It is decoded from the stored form of the ids alone, by the worker that has encoded them.
+    Null and empty texts give an empty one.
     """
+    return _coded(docs, model, True)
+
+
+def _coded(docs: DataFrame, model: str | None, back: bool) -> DataFrame:
+    names = ["doc_id", "n_byte_pieces", "ids"] + ["decoded"] * back
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model or public_pieces())
+        drop = {i: None for i in pieces.bytes.values()}
         for batch in batches:
-            texts = [pieces.decode(raw.decode("utf-32-le", "surrogatepass")) for raw in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "n_byte_pieces", "ids", "decoded"]
-            )
-
-    return encode_pieces(docs, model).mapInArrow(
-        run, "doc_id long, n_byte_pieces long, ids binary, decoded string"
-    )
+            texts = as_strings(batch.column(1))
+            for start, end, _, _ in slabs(texts, SLAB_BYTES):
+                ids = pieces.encode_many(texts.slice(start, end - start).to_pylist())
+                n_bytes = pa.array([len(i) - len(i.translate(drop)) for i in ids], pa.int64())
+                raw = pa.array([i.encode("utf-32-le", "surrogatepass") for i in ids], pa.binary())
+                columns = [batch.column(0).slice(start, end - start), n_bytes, raw]
+                del ids
+                if back:
+                    columns.append(
+                        pa.array([pieces.decode(i.as_py().decode("utf-32-le", "surrogatepass")) for i in raw], pa.string())
+                    )
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, n_byte_pieces long, ids binary" + ", decoded string" * back
+    return pick(docs, doc_id="long", text="string").mapInArrow(run, schema)
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """(doc_id, text) from (doc_id, ids); null ids give an empty text."""
+    """(doc_id, text) from (doc_id, ids); null and empty ids give an empty text.
+
+    Null doc_ids stay null, repeated rows are decoded each, an empty table gives no rows, other
+    columns are left out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = piece_model(model or public_pieces())
