@@ -38,10 +38,24 @@ def base_cube(table: DataFrame, *keys: str) -> DataFrame:
     return table.groupBy(*(keys or CUBE_KEYS)).agg(F.sum("saldo").cast("bigint").alias("saldo"))
 
 
+def merge_cubes(cubes: DataFrame, *keys: str) -> DataFrame:
+    """Sums and row counts of several cubes with ``registros``, as one.
+
+    Cubes may take out what others have put in. A cell that changes neither is left out; one that
+    trades rows for as many others still changes the sum.
+    """
+    return (
+        cubes.groupBy(*(keys or CUBE_KEYS))
+        .agg(F.sum("saldo").cast("bigint").alias("saldo"), F.sum("registros").cast("bigint").alias("registros"))
+        .where("registros <> 0 OR saldo <> 0")
+    )
+
+
 def rollups(cube: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
     """Several roll-ups of one cube in one pass, labelled in column ``tabela``.
 
-    Each row carries the keys of its own roll-up and NULL for the others.
+    Each row carries the keys of its own roll-up and NULL for the others. Cubes with ``registros``
+    may take out what others have put in; a group without rows is left out.
     """
     keys = list(dict.fromkeys(key for names in sets.values() for key in names))
     labels = [
@@ -50,13 +64,15 @@ def rollups(cube: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
         )
         for label, names in sets.items()
     ]
+    counted = "registros" in cube.columns
     key_given = [(F.grouping(k) == 1) | F.col(k).isNotNull() for k in keys]
     summed = cube.groupingSets([list(names) for names in sets.values()], *keys).agg(
         F.coalesce(*labels).alias("tabela"),
         reduce(lambda a, b: a & b, key_given).alias("_completa"),
         F.coalesce(F.sum("saldo"), F.lit(0)).cast("bigint").alias("saldo"),
+        (F.sum("registros") if counted else F.lit(1)).alias("_registros"),
     )
-    return summed.where("_completa").select("tabela", *keys, "saldo")
+    return summed.where("_completa AND _registros <> 0").select("tabela", *keys, "saldo")
 
 
 def outer_balance(base: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -10,6 +10,7 @@ from jobtide.functions.lookup import decode
 from jobtide.functions.numbers import is_missing
 from jobtide.functions.periods import quarter_label, year_quarter_label
 from jobtide.functions.text import strip, title_case
+from jobtide.operators.enrich import TIDY
 
 RULES = ("sem_uf", "uf_invalida", "mov_invalida")
 
@@ -43,7 +44,8 @@ def clean(
     The rules are written as plain predicates so that they reach the scans. The
     UF is tested before it is trimmed, so trimming is left out where the list of
     valid UFs is trimmed itself. ``names_are_tidy`` says the texts were tidied in
-    the municipality and code tables, which spares doing it per row.
+    the municipality and code tables, which spares doing it per row; so do tidied names
+    beside the original ones (``TIDY``), which take their place.
     """
     uf = F.col("sigla_uf")
     valid = _official_uf(integrated).where(
@@ -55,7 +57,9 @@ def clean(
     if not names_are_tidy:
         casings = {"nome_municipio": title_case, "regiao": title_case, "setor": lambda text: text}
         for name, casing in casings.items():
-            if name in valid.columns:
+            if TIDY.get(name) in valid.columns:
+                texts[name] = F.col(TIDY[name])
+            elif name in valid.columns and (name != "setor" or untidy(book)):
                 texts[name] = casing(strip(F.col(name)))
     movement = F.col("tipo_mov").cast("int")
     quarter = quarter_label(F.col("mes"))
@@ -70,35 +74,49 @@ def clean(
                 "ano_trimestre": year_quarter_label(F.col("ano"), quarter),
             }
         )
-        .drop("sigla_uf_ibge", "regiao_cod")
+        .drop("sigla_uf_ibge", "regiao_cod", *TIDY.values())
     )
 
 
-def account(integrated: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
-    """All counts behind the reject report and the null profile, in one pass.
+def untidy(book: Codebook) -> bool:
+    """Whether any sector label has to be trimmed."""
+    return any(label != label.strip() for label in book.sector.values())
 
-    Rows (``conta``, ``nome``, ``registros``): the rows in, those charged to each rule,
-    out and removed, and the nulls of each column. Accounts of parts can be added up.
+
+def account_counts(integrated: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> dict[tuple[str, str], Column]:
+    """The counts behind the reject report and the null profile, by (``conta``, ``nome``).
+
+    They can be taken by an aggregation or observed while the table is written.
     """
-    motive = reject_reason(F.col("sigla_uf"), F.col("tipo_mov"), book)
-    counts = {
-        ("rejeitados", "total_entrada"): F.count("*"),
+    uf = "sigla_uf_ibge" if "sigla_uf_ibge" in integrated.columns else "sigla_uf"
+    motive = reject_reason(F.col(uf), F.col("tipo_mov"), book)
+    return {
+        ("rejeitados", "total_entrada"): F.count(F.lit(1)),
         **{("rejeitados", rule): F.count_if(motive == rule) for rule in RULES},
         ("rejeitados", "total_saida"): F.count_if(motive.isNull()),
         ("rejeitados", "removidos"): F.count(motive),
-        ("nulos", ""): F.count("*"),
+        ("nulos", ""): F.count(F.lit(1)),
         **{
-            ("nulos", name): F.count_if(is_missing(F.col(f"_antes.`{name}`"), kind in ("double", "float")))
+            ("nulos", name): F.count_if(is_missing(F.col(f"`{name}`"), kind in ("double", "float")))
             for name, kind in integrated.dtypes
+            if name not in TIDY.values()
         },
     }
-    rows = integrated.select(F.struct("*").alias("_antes"), "*")
+
+
+def account(integrated: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """All counts behind the reject report and the null profile, in one pass.
+
+    Rows (``conta``, ``nome``, ``registros``): the rows in, those charged to each rule,
+    out and removed, and the nulls of each column. Accounts of parts can be added up.
+    """
+    counts = account_counts(integrated, book)
     numbered = [count.alias(f"c{i}") for i, count in enumerate(counts.values())]
     entries = [
         F.struct(F.lit(kind).alias("conta"), F.lit(name).alias("nome"), F.col(f"c{i}").alias("registros"))
         for i, (kind, name) in enumerate(counts)
     ]
-    return _official_uf(rows).agg(*numbered).select(F.inline(F.array(*entries)))
+    return integrated.agg(*numbered).select(F.inline(F.array(*entries)))
 
 
 def _shares(accounts: DataFrame, kind: str, total: str, name: str, count: str) -> DataFrame:

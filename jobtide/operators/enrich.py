@@ -12,6 +12,9 @@ from jobtide.functions.lookup import decode
 from jobtide.functions.periods import parse_month
 from jobtide.functions.text import municipality_key, strip
 
+# Names of the municipality, and the columns that hold them tidied where both are kept.
+TIDY = {"nome_municipio": "nome_municipio_limpo", "regiao": "regiao_limpa"}
+
 # Brings a municipality code to the form it is joined on.
 Key = Callable[[Column], Column]
 
@@ -60,7 +63,8 @@ def join_municipality(
     ``key`` brings both codes to one form. There is no broadcast hint: the
     planner broadcasts the dimension while it is below
     ``spark.sql.autoBroadcastJoinThreshold`` and beyond that sorts and merges,
-    with AQE splitting a municipality that holds a large share of the rows.
+    with AQE splitting a municipality that holds a large share of the rows. Names
+    that were tidied beside the original ones (``TIDY``) are carried along.
     """
     dimension = municipalities.select(
         key(F.col("cod_municipio")).alias("_codigo"),
@@ -68,6 +72,7 @@ def join_municipality(
         F.col("sigla_uf").alias("sigla_uf_ibge"),
         "nome_uf",
         "regiao",
+        *[name for name in TIDY.values() if name in municipalities.columns],
     )
     return (
         fact.withColumn("_codigo", key(F.col("cod_municipio")))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Input bytes per shuffle partition.
 BYTES_PER_PARTITION = 256 * 1024**2
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# The user's own number, and the one that has taken its place.
+OWN_PARTITIONS = "spark.jobtide.ownInitialPartitionNum"
 
 
 def file_bytes(scan: DataFrame) -> int:
@@ -34,11 +36,18 @@ def size_shuffles(fact: DataFrame) -> None:
 
     AQE merges partitions that turn out small but does not split evenly large
     ones, so the number to start with must grow with the input. It is set anew for
-    each fact, and taken back where the session's own number is enough.
+    each fact; where the session's own number is enough, what the user had set comes back.
     """
     conf = fact.sparkSession.conf
-    needed = file_bytes(fact) // BYTES_PER_PARTITION
-    if needed > int(conf.get("spark.sql.shuffle.partitions")):
-        conf.set(INITIAL_PARTITIONS, str(needed))
+    now = conf.get(INITIAL_PARTITIONS, None) or ""
+    own, _, ours = (conf.get(OWN_PARTITIONS, None) or "").partition("/")
+    if not ours or ours != now:
+        own = now  # the user has set it, not this function
+    needed = str(file_bytes(fact) // BYTES_PER_PARTITION)
+    if int(needed) > int(own or conf.get("spark.sql.shuffle.partitions")):
+        conf.set(OWN_PARTITIONS, f"{own}/{needed}")
+        conf.set(INITIAL_PARTITIONS, needed)
+    elif own:
+        conf.set(INITIAL_PARTITIONS, own)
     else:
         conf.unset(INITIAL_PARTITIONS)

@@ -32,14 +32,18 @@ from jobtide.operators.shape import domains
 from jobtide.operators.sizing import size_shuffles
 from jobtide.plans import views
 from jobtide.plans.binding import BOOK, FIRST_YEAR, LAST_YEAR, Tables, whole_code
+from jobtide.plans.ingest import ingest_missing, withdraw
 from jobtide.plans.stages import build_tables
 from jobtide.schemas import MOVEMENTS, MUNICIPALITY_JSON
 from jobtide.session import shared_folder
-from jobtide.sources.manifest import manifest, missing_files
+from jobtide.sources.files import move_new, remove
+from jobtide.sources.footers import footer_range
+from jobtide.sources.manifest import manifest
 from jobtide.sources.municipalities import flatten
 from jobtide.sources.raw import conform, read_raw_month, union_months
 from jobtide.sources.tables import combine_parts, file_counts, running_total, write_once
 from jobtide.streaming.monthly import current_monthly, refresh_monthly
+from jobtide.streaming.tables import current_tables, refresh_tables
 
 Years = tuple[int | None, int | None]
 ALL_YEARS = (None, None)
@@ -275,8 +279,8 @@ def missing_months(t: Tables) -> DataFrame:
 def missing_files_query(t: Tables) -> DataFrame:
     """Archives of (month, UF) pairs with no accepted movement, by file name.
 
-    Both sides of the anti-join come from one sum per pair, which Spark computes once
-    and reads twice.
+    Both sides of the anti-join would come from one sum per pair, and a pair names one file, so a file is
+    missing if its own sum has nothing accepted: one scan of the fact, and no join.
     """
     reason = reject_reason(F.col("sigla_uf_ibge"), F.col("tipo_mov"), BOOK)
     files = (
@@ -286,10 +290,9 @@ def missing_files_query(t: Tables) -> DataFrame:
     )
     month = F.date_format("ano_mes", "yyyyMM")
     uf = F.coalesce("sigla_uf_ibge", F.lit("x"))
-    stem = F.concat(F.lit("movimento_"), month, F.lit("_"), uf)
-    available = files.select(F.concat(stem, F.lit(".7z")).alias("nome"), "aceitos")
-    present = files.where("aceitos > 0").select(F.upper(stem).alias("stem"))
-    return missing_files(manifest(available, token="Movimento"), present)
+    name = F.concat(F.lit("movimento_"), month, F.lit("_"), uf, F.lit(".7z"))
+    missing = files.where("aceitos = 0").select(name.alias("nome"), "aceitos")
+    return manifest(missing, token="Movimento")
 
 
 def domains_query(t: Tables) -> DataFrame:
@@ -496,12 +499,11 @@ def combined_parts(t: Tables) -> DataFrame:
     return file_counts(combine_parts(t.spark, paths), r"/(lote_[a-z])/", salaries)
 
 
-def rebuilt_balances(t: Tables) -> DataFrame:
-    """Stored balance tables after two ingests of raw text, the second of later months."""
-    folder = shared_folder(t.spark, "meses")
+def _raw_months(t: Tables) -> DataFrame:
+    """The fact as raw text columns, with ``cedo`` for the months that arrive first."""
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("seção"))
     raw = t.lines_with_code().join(part, "l_partkey", "left")
-    raw = raw.select(
+    return raw.select(
         F.date_format("ano_mes", "yyyyMM").alias("competênciamov"),
         F.col("cod_municipio").cast("string").alias("município"),
         "seção",
@@ -509,18 +511,28 @@ def rebuilt_balances(t: Tables) -> DataFrame:
         F.col("sexo").alias("sexotrabalhador"),
         F.coalesce(F.col("ano_mes") < f"{LAST_ARRIVAL_YEAR}-01-01", F.lit(True)).alias("cedo"),
     )
-    places = t.municipalities().withColumn("cod_municipio", whole_code(F.col("cod_municipio")))
-    write_once(places, f"{folder}/tabelas/municipios")
-    paths: list[str] = []
-    for early in (True, False):
-        arrived = f"{folder}/texto_{early}"
-        raw.where(F.col("cedo") == early).drop("cedo").write.mode("overwrite").csv(
-            arrived, sep=";", header=True
-        )
-        paths += t.spark.read.text(arrived).inputFiles()
-        tables = build_tables(
-            t.spark, paths, "", f"{folder}/tabelas", BOOK, last_year=LAST_YEAR, key=whole_code
-        )
+
+
+def _write_text(raw: DataFrame, folder: str) -> list[str]:
+    """Raw months as text files; their paths."""
+    raw.drop("cedo").write.mode("overwrite").csv(folder, sep=";", header=True)
+    return sorted(raw.sparkSession.read.text(folder).inputFiles())
+
+
+def _republish(t: Tables, old: list[str], new: list[str], movements: str) -> list[str]:
+    """Put new files in the place of old ones, and withdraw old ones that have no successor; the paths."""
+    for before, after in zip(old, new):
+        remove(t.spark, before)
+        move_new(t.spark, after, before)
+    withdraw(t.spark, old[len(new) :], movements)
+    return old[: len(new)] + new[len(old) :]
+
+
+def _places(t: Tables) -> DataFrame:
+    return t.municipalities().withColumn("cod_municipio", whole_code(F.col("cod_municipio")))
+
+
+def _three_balances(tables: dict[str, DataFrame]) -> DataFrame:
     keys = {
         "agg_saldo_uf": ["ano", "sigla_uf"],
         "agg_setor_ano": ["ano", "setor"],
@@ -534,6 +546,85 @@ def rebuilt_balances(t: Tables) -> DataFrame:
     ).select("tabela", "ano", "mes", "sigla_uf", "setor", "saldo")
 
 
+def rebuilt_balances(t: Tables) -> DataFrame:
+    """Stored balance tables after two ingests of raw text, the second of later months."""
+    folder = shared_folder(t.spark, "meses")
+    raw = _raw_months(t)
+    write_once(_places(t), f"{folder}/tabelas/municipios")
+    paths: list[str] = []
+    for early in (True, False):
+        paths += _write_text(raw.where(F.col("cedo") == early), f"{folder}/texto_{early}")
+        tables = build_tables(
+            t.spark, paths, "", f"{folder}/tabelas", BOOK, last_year=LAST_YEAR, key=whole_code
+        )
+    return _three_balances(tables)
+
+
+def republished_months(t: Tables) -> DataFrame:
+    """Stored balance tables after the early months, first published with hirings and dismissals
+    exchanged, were published again under the same names, together with later months."""
+    folder = shared_folder(t.spark, "correcao")
+    raw = _raw_months(t)
+    out = f"{folder}/tabelas"
+    write_once(_places(t), f"{out}/municipios")
+    early = raw.where("cedo")
+    code = F.col("saldomovimentação").cast("double")
+    paths = _write_text(early.withColumn("saldomovimentação", (-code).cast("string")), f"{folder}/errado")
+    build_tables(t.spark, paths, "", out, BOOK, last_year=LAST_YEAR, key=whole_code)
+    right = _write_text(early, f"{folder}/certo")
+    paths = _republish(t, paths, right, f"{out}/movimentos")
+    paths += _write_text(raw.where("NOT cedo"), f"{folder}/novo")
+    tables = build_tables(t.spark, paths, "", out, BOOK, last_year=LAST_YEAR, key=whole_code)
+    return _three_balances(tables)
+
+
+def streamed_tables(t: Tables) -> DataFrame:
+    """The seven balance tables from the stream over commits: two arrivals and a correction of the first.
+
+    Every row has the keys of its own table; ``indice`` is the moving mean or the growth.
+    """
+    folder = shared_folder(t.spark, "fluxo")
+    raw = _raw_months(t)
+    movements = f"{folder}/movimentos"
+    early = raw.where("cedo")
+    men = F.coalesce(F.col("sexotrabalhador") == "O", F.lit(False))
+    first = _write_text(early.where(men), f"{folder}/homens")
+    arrivals = [
+        lambda: first,
+        lambda: _republish(t, first, _write_text(early, f"{folder}/todos"), movements),
+        lambda: _write_text(raw.where("NOT cedo"), f"{folder}/novo"),
+    ]
+    for arrive in arrivals:
+        ingest_missing(t.spark, arrive(), movements)
+        refresh_tables(
+            t.spark, movements, _places(t), f"{folder}/posicao", f"{folder}/cubo", BOOK, whole_code
+        )
+    tables = current_tables(t.spark, f"{folder}/cubo", FIRST_YEAR, LAST_YEAR)
+    growing = tables["agg_crescimento_setor"]
+    tables["agg_crescimento_setor"] = growing.select(
+        "setor",
+        F.col(f"saldo_{LAST_YEAR}").alias("saldo"),
+        F.col(f"saldo_{FIRST_YEAR}").alias("saldo_base"),
+        F.col("variacao_pct").alias("indice"),
+    )
+    tables["agg_saldo_mensal"] = tables["agg_saldo_mensal"].withColumnRenamed("media_movel_3m", "indice")
+    labelled = [table.select(F.lit(name).alias("tabela"), "*") for name, table in tables.items()]
+    return union_months(labelled).select(
+        "tabela", "ano", "mes", "ano_mes", "nome_municipio", "sigla_uf", "regiao", "fase_pandemia", "setor",
+        "saldo", "saldo_base", "indice",
+    )
+
+
+def footer_ranges(t: Tables) -> DataFrame:
+    """Rows, least and largest key of four tables, from the footers of their files."""
+    keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
+    ranges = [
+        footer_range(t.spark, f"{t.folder}/{name}.parquet", key).select(F.lit(name).alias("tabela"), "*")
+        for name, key in keys.items()
+    ]
+    return union_months(ranges)
+
+
 def conform_stored(rows: DataFrame) -> DataFrame:
     """Adds the stored columns that ``rows`` lacks as typed NULLs, in schema order."""
     absent = {
@@ -582,6 +673,9 @@ QUERIES = {
     "incremental_month": incremental_month,
     "combined_parts": combined_parts,
     "rebuilt_balances": rebuilt_balances,
+    "republished_months": republished_months,
+    "streamed_tables": streamed_tables,
+    "footer_ranges": footer_ranges,
 }
 
 

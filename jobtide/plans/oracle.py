@@ -410,7 +410,37 @@ FROM (SELECT CASE WHEN sexo_bruto = 'O' THEN 'lote_a' ELSE 'lote_b' END AS arqui
       FROM integrado GROUP BY 1)
 """,
 }
-BODIES["rebuilt_balances"] = BODIES["base_cube_rollups"]
+BODIES["rebuilt_balances"] = BODIES["republished_months"] = BODIES["base_cube_rollups"]
+BODIES["streamed_tables"] = """,
+medias AS (
+  SELECT ano, mes, ano_mes, saldo, CASE WHEN count(*) OVER w = 3 THEN avg(saldo) OVER w END AS media
+  FROM mensal WINDOW w AS (ORDER BY ano_mes ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)
+),
+extremos AS (
+  SELECT setor, CAST(coalesce(sum(saldo) FILTER (WHERE ano = 1995), 0) AS BIGINT) AS saldo_base,
+         CAST(coalesce(sum(saldo) FILTER (WHERE ano = 2001), 0) AS BIGINT) AS saldo
+  FROM por_setor WHERE ano IN (1995, 2001) GROUP BY setor
+),
+tabelas AS (
+  SELECT 'agg_saldo_mensal' AS tabela, ano, mes, ano_mes, saldo, media AS indice FROM medias
+  UNION ALL BY NAME SELECT 'agg_saldo_uf' AS tabela, ano, sigla_uf, saldo FROM por_uf
+  UNION ALL BY NAME SELECT 'agg_saldo_fase' AS tabela, fase_pandemia, setor, saldo FROM por_fase
+  UNION ALL BY NAME SELECT 'agg_municipios' AS tabela, ano, nome_municipio, sigla_uf, regiao, saldo FROM por_municipio
+  UNION ALL BY NAME SELECT 'agg_setor_ano' AS tabela, ano, setor, saldo FROM por_setor
+  UNION ALL BY NAME SELECT 'agg_mes_ano' AS tabela, ano, mes, saldo FROM mensal
+  UNION ALL BY NAME SELECT 'agg_crescimento_setor' AS tabela, setor, saldo, saldo_base,
+         round_even((saldo - saldo_base) / CAST(coalesce(nullif(abs(saldo_base), 0), 1) AS DOUBLE)
+                    * 100, 1) AS indice FROM extremos
+)
+SELECT tabela, ano, mes, ano_mes, nome_municipio, sigla_uf, regiao, fase_pandemia, setor, saldo, saldo_base, indice
+FROM tabelas
+"""
+BODIES["footer_ranges"] = "UNION ALL ".join(
+    f"SELECT '{name}' AS tabela, count(*) AS registros, min({key}) AS minimo, max({key}) AS maximo FROM {name}\n"
+    for name, key in (
+        ("lineitem", "l_orderkey"), ("orders", "o_orderkey"), ("customer", "c_custkey"), ("part", "p_partkey"),
+    )
+)
 
 
 def oracle_sql() -> dict[str, str]:

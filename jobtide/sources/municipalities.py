@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import municipality_key, strip, title_case
+from jobtide.operators.enrich import TIDY
 from jobtide.schemas import MUNICIPALITY_JSON
 
 
@@ -48,6 +49,13 @@ def tidy(municipalities: DataFrame) -> DataFrame:
     )
 
 
+def with_tidy(municipalities: DataFrame) -> DataFrame:
+    """The municipalities with tidied names beside the original ones."""
+    return municipalities.withColumns(
+        {tidied: title_case(strip(F.col(name))) for name, tidied in TIDY.items()}
+    )
+
+
 def duplicate_codes(municipalities: DataFrame) -> DataFrame:
     """Codes that occur more than once and so would multiply fact rows in a join."""
     return municipalities.groupBy("cod_municipio").count().where("count > 1")

@@ -4,15 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from jobtide.schemas import BATCH, MOVEMENTS, ORIGIN, SOURCE_FILE
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+from jobtide.schemas import ATTEMPT, BAD, BATCH, GOOD, MALFORMED, ORIGIN, PATH, STATE, STORED_MOVEMENTS
+from jobtide.sources.files import exists
+from jobtide.sources.ledger import ledger_path, read_ledger, versions
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -49,14 +44,50 @@ def write_fact(
     )
 
 
+def read_versions(spark: SparkSession, path: str, ledger: DataFrame | None = None) -> DataFrame:
+    """All committed lines of the movements, with their commit, file and state; columns a file lacks are NULL.
+
+    Folders that no commit names, left by a run that stopped, are not read.
+    """
+    ledger = read_ledger(spark, ledger_path(path)) if ledger is None else ledger
+    # A row for each commit.
+    held = ledger.where(F.col("registros") + F.col("malformados") > 0).select(BATCH, ATTEMPT).distinct()
+    folders = sorted(f"{path}/{BATCH}={row[0]}/{ATTEMPT}={row[1]}" for row in held.collect())
+    if not folders:
+        return spark.createDataFrame([], STORED_MOVEMENTS)
+    return spark.read.schema(STORED_MOVEMENTS).option("basePath", path).parquet(*folders)
+
+
 def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """The ingested movements with their batch and file; columns a file lacks are NULL."""
-    partitions = [
-        StructField(BATCH, IntegerType()),
-        StructField(SOURCE_FILE, StringType()),
-        StructField(ORIGIN, StringType()),
-    ]
-    return spark.read.schema(StructType([*MOVEMENTS.fields, *partitions])).parquet(path)
+    """The movements of the current version of every file, with their commit and file."""
+    ledger = read_ledger(spark, ledger_path(path))
+    good = read_versions(spark, path, ledger).where(F.col(STATE) == GOOD).drop(ATTEMPT, STATE, MALFORMED)
+    return without_retired(good, retired(ledger))
+
+
+def read_malformed(spark: SparkSession, path: str) -> DataFrame:
+    """(caminho, lote, linha_malformada): the lines of all commits that did not fit their header."""
+    ledger = read_ledger(spark, ledger_path(path))
+    bad = read_versions(spark, path, ledger).where(F.col(STATE) == BAD)
+    return bad.join(ledger.select(PATH, ORIGIN, BATCH), [ORIGIN, BATCH]).select(PATH, BATCH, MALFORMED)
+
+
+def retired(ledger: DataFrame, commit: int | None = None) -> list[tuple[int, str]]:
+    """(commit, file) of the versions that were replaced or withdrawn, by one commit or by any.
+
+    The list has an entry for each republished file.
+    """
+    out = F.col("retirado_em")
+    gone = versions(ledger).where(out.isNotNull() if commit is None else out == commit)
+    return sorted((row[0], row[1]) for row in gone.select(BATCH, ORIGIN).collect())
+
+
+def without_retired(rows: DataFrame, gone: list[tuple[int, str]]) -> DataFrame:
+    """Rows of the versions that still count. The list has one entry for each republished file."""
+    if not gone:
+        return rows
+    listed = rows.sparkSession.createDataFrame(gone, f"{BATCH} int, {ORIGIN} string")
+    return rows.join(F.broadcast(listed), [BATCH, ORIGIN], "left_anti")
 
 
 def combine_parts(spark: SparkSession, paths: list[str]) -> DataFrame:

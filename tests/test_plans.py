@@ -9,7 +9,7 @@ from jobtide.plans.binding import Tables
 from jobtide.operators import sizing
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"delimited_months", "incremental_month", "missing_files", "schooling_year_pair"}
+EAGER = {"delimited_months", "incremental_month", "schooling_year_pair"}
 LAZY = sorted(set(contract.queries()) - EAGER)
 
 
@@ -58,6 +58,32 @@ def test_shuffles_grow_with_the_input(spark, monkeypatch):
         spark.conf.unset(key)
 
 
+def test_the_users_own_shuffle_setting_comes_back(spark, monkeypatch):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    fact = Tables(spark, FOLDER).lineitem
+    size = sizing.BYTES_PER_PARTITION
+    try:
+        spark.conf.set(key, "30")
+        sizing.size_shuffles(fact)
+        assert spark.conf.get(key) == "30"
+        monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 1024)
+        sizing.size_shuffles(fact)
+        sizing.size_shuffles(fact)
+        assert int(spark.conf.get(key)) > 30
+        monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", size)
+        sizing.size_shuffles(fact)
+        assert spark.conf.get(key) == "30"
+    finally:
+        spark.conf.unset(key)
+    sizing.size_shuffles(fact)
+    assert spark.conf.get(key, None) is None
+
+
+def test_missing_files_scan_the_fact_once(spark):
+    plan = plan_of(contract.queries()["missing_files"](spark, FOLDER))
+    assert plan.count("l_returnflag:string") == 1 and "LeftAnti" not in plan
+
+
 @pytest.fixture
 def large_table_joins(spark):
     """Every table counts as too large to broadcast, every partition as skewed."""

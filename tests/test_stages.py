@@ -14,7 +14,14 @@ from jobtide.plans.stages import build_tables, ingest_missing, read_ledger, stor
 from jobtide.plans.views import crisis_page, overview_page, region_table, regional_page, sectoral_page
 from jobtide.schemas import MOVEMENTS, SOURCE_FILE
 from jobtide.sources.raw import EXTRA, read_raw, read_raw_month
-from jobtide.sources.tables import combine_parts, file_counts, is_complete, read_movements, write_once
+from jobtide.sources.tables import (
+    combine_parts,
+    file_counts,
+    is_complete,
+    read_malformed,
+    read_movements,
+    write_once,
+)
 from jobtide.streaming.monthly import current_monthly, monthly_preparation, refresh_monthly
 
 HEADER = (
@@ -325,7 +332,8 @@ def test_outcome_of_every_file(spark, raw, tmp_path):
         "blank.txt": (0, 0, "ilegivel"),
         "lost.txt": (0, 0, "ausente"),
     }
-    kept = spark.read.parquet(f"{path}_malformadas")
+    kept = read_malformed(spark, path)
+    assert {row.caminho.rsplit("/", 1)[1] for row in kept.collect()} == {"broken.txt"}
     assert {row.linha_malformada for row in kept.collect()} == {"1;202101", SECOND[0] + ";more"}
     lost.write_text("\n".join([HEADER, FIRST[0]]) + "\n", encoding="utf-8")
     assert ingest_missing(spark, paths, path) == 1
