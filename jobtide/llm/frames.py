@@ -10,21 +10,34 @@ from pyspark.sql import functions as F
 from jobtide.session import shared_folder
 
 
+def place(df: DataFrame, name: str) -> int | None:
+    """Where a column is: the first exact match, else the first match without regard to case, else None."""
+    same = [i for i, c in enumerate(df.columns) if c == name]
+    close = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    return (same or close or [None])[0]
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """`df` with its columns named `_0`, `_1` ..., so that names that repeat, clash or hold dots do no harm.
+
+    `toDF(*names)` gives the names back.
+    """
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
 def pick(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast to the given types.
 
-    Columns are found by position, so further columns that repeat a name, or differ
-    from it in case only, do no harm: the first exact match wins, then the first
-    match without regard to case.
+    Columns are found by `place`, so further columns that repeat a name, or differ
+    from it in case only, do no harm.
     """
-    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    plain = by_place(df)
     out = []
     for name, kind in kinds.items():
-        same = [i for i, c in enumerate(df.columns) if c == name]
-        close = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
-        if not close:
+        at = place(df, name)
+        if at is None:
             raise ValueError(f"no column {name} among {df.columns}")
-        out.append(plain[f"_{(same or close)[0]}"].cast(kind).alias(name))
+        out.append(plain[f"_{at}"].cast(kind).alias(name))
     return plain.select(*out)
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.frames import pick, stored, utf8
+from jobtide.llm.frames import by_place, pick, place, stored, utf8
 
 # Bytes of the word beginnings that are features beside the words.
 STEMS = (4, 5, 6)
@@ -259,9 +259,14 @@ def score(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) ->
 
 
 def keep_good(docs: DataFrame, model: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of `docs` that `score` keeps, with all their columns."""
+    """The rows of `docs` that `score` keeps, with all their columns.
+
+    A null text is judged as an empty one, repeated rows are judged each, null doc_ids do not matter, an
+    empty table gives no rows. Other columns come back unchanged, also where their names repeat or clash.
+    """
     trained = Model(model, settings)
-    at = docs.columns.index("text")
+    at = place(docs, "text")
+    plain = by_place(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,7 +275,7 @@ def keep_good(docs: DataFrame, model: DataFrame, settings: Settings = Settings()
                 batch = batch.filter(pa.array(tails[:, -1] >= 0.5))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def graded(labels: DataFrame) -> DataFrame:

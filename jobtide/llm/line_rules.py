@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from jobtide.llm.frames import pick, utf8
+from jobtide.llm.frames import by_place, pick, place, utf8
 
 # The characters that part words, and the symbols that are counted.
 WHITE = b" \t\n\v\f\r"
@@ -176,21 +176,22 @@ def clean_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of `docs` that the rules keep, their text without the lines that fail.
 
-    n_chars, if there, follows the text; other columns stay.
+    n_chars, if there, follows the text. A null or empty text fails, repeated rows are judged each,
+    null doc_ids do not matter, an empty table gives no rows. Other columns come back unchanged,
+    also where their names repeat or clash.
     """
-    names = docs.columns
-    at = names.index("text")
+    at, size = place(docs, "text"), place(docs, "n_chars")
+    plain = by_place(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             judged = [judge(text, rules) for text in batch.column(at).to_pylist()]
-            new = {"text": pa.array([j[-1] for j in judged], batch.column(at).type)}
-            if "n_chars" in names:
-                old = batch.column(names.index("n_chars"))
+            new = {at: pa.array([j[-1] for j in judged], batch.column(at).type)}
+            if size is not None:
                 sizes = pa.array([None if j[-1] is None else len(j[-1]) for j in judged], pa.int64())
-                new["n_chars"] = sizes.cast(old.type)
-            columns = [new.get(c, batch.column(i)) for i, c in enumerate(names)]
-            out = pa.RecordBatch.from_arrays(columns, names)
+                new[size] = sizes.cast(batch.column(size).type)
+            columns = [new.get(i, column) for i, column in enumerate(batch.columns)]
+            out = pa.RecordBatch.from_arrays(columns, batch.schema.names)
             yield out.filter(pa.array([j[-2] for j in judged], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from jobtide.llm.components import components
-from jobtide.llm.frames import pick, stored, utf8
+from jobtide.llm.frames import by_place, pick, place, stored, utf8
 
 BITS = 64
 ONE = np.uint64(1)
@@ -375,7 +375,9 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs` with one row of each component, that of the smallest doc_id.
 
     Of rows with that doc_id in the component, the one whose text has the smallest SHA-256
-    stays. Rows without a doc_id cannot be named and stay. All columns stay as they are.
+    stays. Rows without a doc_id cannot be named and stay. Null and empty texts have fingerprint 0 and
+    are linked like any other, an empty table gives no rows. All columns stay as they are, also
+    where their names repeat or clash.
     """
     prints, named = components_of(docs, settings)
     found = prints.join(named, "fingerprint").where("doc_id is not null")
@@ -383,17 +385,19 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("n")),
         "members-by-id",
     )
+    # Columns by place, and the id once more as a long.
+    plain = by_place(docs)
+    columns, text = plain.columns, F.col(f"_{place(docs, 'text')}")
+    rows = plain.withColumn("doc_id", F.col(f"_{place(docs, 'doc_id')}").cast("long"))
     # Ids of several rows are decided by row, as their texts may be in different components.
     dropped = ids.where("doc_id <> first and n = 1").select("doc_id")
     repeated = ids.where("n > 1").select("doc_id")
     # Sorted and merged at every size: the list of dropped documents grows with the corpus.
-    left = docs.join(dropped.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    left = rows.join(dropped.hint("merge"), "doc_id", "left_anti")
     if repeated.isEmpty():
-        return left
-    several = docs.join(repeated.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
-    rows = several.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*docs.columns).alias("row")
-    )
+        return left.select(*columns).toDF(*docs.columns)
+    several = rows.join(repeated.hint("merge"), "doc_id", "left_semi")
+    whole = several.select("doc_id", text.alias("text"), F.struct(*columns).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -401,17 +405,17 @@ def keep_first(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             own = pa.array(np.array(values, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "fingerprint"])
 
-    kind = StructType([*rows.schema.fields, StructField("fingerprint", LongType())])
+    kind = StructType([*whole.schema.fields, StructField("fingerprint", LongType())])
     once = (
-        rows.mapInArrow(run, kind)
+        whole.mapInArrow(run, kind)
         .join(named.where("component_id is not null"), "fingerprint")
         .where("doc_id = component_id")
         .groupBy("root")
         .agg(F.min_by("row", F.coalesce(F.sha2("text", 256), F.lit(""))).alias("row"))
         .select("row.*")
     )
-    rest = left.join(repeated.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    return rest.union(once)
+    rest = left.join(repeated.hint("merge"), "doc_id", "left_anti").select(*columns)
+    return rest.union(once).toDF(*docs.columns)
 
 
 def hexadecimal(fingerprint: str) -> Column:

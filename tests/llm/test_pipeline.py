@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from jobtide.llm import grades, line_rules
 from jobtide.llm.bpe import byte_encoder, public_vocabulary
 from test_simhash import plain_components, plain_print
@@ -106,6 +107,48 @@ def test_odd_rows_pass_through_every_stage(spark):
         docs.collect()
 
 
+EXTRA = {"TEXT": "clash", "DOC_ID": 77, "text ": "blank", "a.b": 1.5, "_doc": 1, "_digest": "d", "row": "r", "doc": 9}
+LONG = " ".join(f"word{i} and thing{i * i}" for i in range(300)) + "."
+
+
+def odd_frame(spark, extra):
+    """Documents with further columns, a repeated `text` among them if `extra` is given as a list."""
+    rows = [(i, LONG[7 * i :] if i % 2 else f"{LONG} Copy.", "en", "s", None) for i in range(1, 7)]
+    rows += [rows[0], (None, LONG, "en", "s", 4), (9, None, None, None, None), (10, "", "fr", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame(rows, schema)
+    for i, value in enumerate(extra.values()):
+        frame = frame.withColumn(f"extra{i}", F.lit(value))
+    return frame.toDF("doc_id", "text", "lang", "source", "n_chars", *extra)
+
+
+@pytest.mark.parametrize("extra", [EXTRA, {**EXTRA, "text": "again"}])
+def test_clashing_names_pass_through_every_stage(spark, extra):
+    docs = odd_frame(spark, EXTRA)
+    if "text" in extra:
+        docs = docs.withColumn("more", F.lit("again")).toDF(*docs.columns, "text")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).select("c0", "c1", "c2", "c3", "c4")
+    plain = plain.toDF("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, FOLDER), stage(spark, plain, FOLDER)
+        if name == "packing":
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            continue
+        assert got.columns == docs.columns
+        rows = [tuple(row) for row in got.collect()]
+        assert sorted(str(row[:5]) for row in rows) == sorted(str(tuple(r)) for r in want.collect()), name
+        assert {row[5:] for row in rows} <= {(*EXTRA.values(), *["again"] * ("text" in extra))}, name
+
+
+def test_run_over_files_with_dotted_and_reserved_names(spark, tmp_path):
+    keep = {name: EXTRA[name] for name in ("a.b", "_doc", "_digest", "row", "doc")}
+    odd_frame(spark, keep).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == corpus_pipeline.run(spark, FOLDER).columns
+    assert {row.doc_id for row in got.collect()} <= {*range(1, 11), None}
+
+
 def test_run_is_the_last_stage(spark, stages):
     got = corpus_pipeline.run(spark, FOLDER)
     assert got.dtypes == stages[5].dtypes
