@@ -12,7 +12,7 @@ most `sample` rated documents, chosen by a hash of doc_id; all documents are sco
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -40,8 +40,8 @@ class Settings:
     deviation: float = 4.0  # least deviation of a feature from chance, in standard deviations
     tested: int = 10_000  # features up to which that bar holds; it rises slowly beyond
     ridge: float = 0.05  # of the feature that changes the odds most; weaker ones have more
-    rounds: int = 800
-    rate: float = 0.15
+    rounds: int = 300  # steps of the fit, at most
+    slope: float = 1e-6  # of the loss at its end
 
 
 def features(text: str | None, buckets: int) -> np.ndarray:
@@ -107,30 +107,31 @@ def fit(
     """Weights and thresholds for documents given as (row, column) pairs and grades 0..K.
 
     Thresholds are t_1 and the logarithms of the steps to the next ones, so they stay in
-    order. Minimised by Adam steps on the whole sample; everything is deterministic. With
+    order. The mean negative log-likelihood with the ridge is minimised by L-BFGS steps on the whole
+    sample, in units of each feature's own curvature; everything is deterministic. With
     `effects` the ridge grows with the inverse square of a feature's effect, so that many
     weak features do not outvote a rare telling one.
     """
     ridge = np.full(width, settings.ridge)
     if effects is not None and width:
         ridge *= (effects.max() / np.maximum(effects, 1e-3)) ** 2
-    top = int(grades.max())
+    top, n = int(grades.max()), len(grades)
     share = np.clip([(grades >= k).mean() for k in range(1, top + 1)], 1e-3, 1 - 1e-3)
     first = -np.log(share / (1 - share))
-    theta = np.concatenate(
-        [np.zeros(width), first[:1], np.log(np.maximum(np.diff(first), 1e-2))]
-    )
-    mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    n = len(grades)
-    for step in range(1, settings.rounds + 1):
+    start = np.concatenate([np.zeros(width), first[:1], np.log(np.maximum(np.diff(first), 1e-2))])
+    own = np.arange(n)
+
+    def cuts_of(theta: np.ndarray) -> np.ndarray:
+        return theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1 :]))])
+
+    def loss(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        """The penalised loss and its slopes."""
         weights = theta[:width]
         steps = np.exp(theta[width + 1 :])
-        cuts = theta[width] + np.concatenate([[0.0], np.cumsum(steps)])
         score = np.bincount(rows, weights[columns], n)
-        tails = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts, -30, 30)))
+        tails = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts_of(theta), -30, 30)))
         full = np.concatenate([np.ones((n, 1)), tails, np.zeros((n, 1))], axis=1)
         slope = full * (1 - full)
-        own = np.arange(n)
         chance = np.maximum(full[own, grades] - full[own, grades + 1], 1e-9)
         up, down = slope[own, grades] / chance, slope[own, grades + 1] / chance
         by_score = -(up - down) / n
@@ -141,11 +142,56 @@ def fit(
         slopes[:width] = np.bincount(columns, by_score[rows], width) + ridge * weights / n
         slopes[width] = by_cut.sum()
         slopes[width + 1 :] = by_cut[::-1].cumsum()[::-1][1:] * steps
-        mean += 0.1 * (slopes - mean)
-        square += 0.01 * (slopes**2 - square)
-        theta -= settings.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    cuts = theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1 :]))])
-    return theta[:width], cuts
+        return -np.log(chance).mean() + (ridge * weights**2).sum() / (2 * n), slopes
+
+    # A unit of each parameter changes the slope of the loss about alike.
+    held = np.bincount(columns, minlength=width)[:width]
+    unit = np.concatenate([1 / np.sqrt((0.1 * held + ridge) / n), np.ones(top)])
+    theta = lowest(lambda x: _scaled(loss, x, unit), start / unit, settings.rounds, settings.slope) * unit
+    return theta[:width], cuts_of(theta)
+
+
+def _scaled(loss: Callable, x: np.ndarray, unit: np.ndarray) -> tuple[float, np.ndarray]:
+    value, slopes = loss(x * unit)
+    return value, slopes * unit
+
+
+def lowest(
+    loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, rounds: int, slope: float, memory: int = 12
+) -> np.ndarray:
+    """Where a smooth function that gives its value and slopes is least, by L-BFGS with backtracking.
+
+    Ends when no slope is above `slope`, no step lowers the value any more, or after `rounds` steps.
+    """
+    value, slopes = loss(x)
+    moved: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        if not len(x) or np.abs(slopes).max() <= slope:
+            break
+        way, parts = slopes.copy(), []
+        for step, change in reversed(moved):
+            part = (step @ way) / (step @ change)
+            parts.append(part)
+            way -= part * change
+        if moved:
+            step, change = moved[-1]
+            way *= (step @ change) / (change @ change)
+        for (step, change), part in zip(moved, reversed(parts)):
+            way += (part - (change @ way) / (step @ change)) * step
+        fall, length = slopes @ way, 1.0
+        while True:
+            there = x - length * way
+            lower, then = loss(there)
+            if lower <= value - 1e-4 * length * fall:
+                break
+            length /= 2
+            if length < 1e-10:
+                return x
+        step, change = there - x, then - slopes
+        if step @ change > 1e-12:
+            moved = [*moved, (step, change)][-memory:]
+        x, value, slopes = there, lower, then
+    return x
 
 
 def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -1,5 +1,10 @@
 """Ordinal regression: gradients, order of thresholds, held-out accuracy."""
 
+import math
+import random
+import zlib
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -16,12 +21,121 @@ def test_fit_finds_ordered_thresholds():
     latent = x @ true + rng.logistic(size=3000)
     grade = np.digitize(latent, [0.0, 2.0, 4.0])
     rows, columns = np.nonzero(x)
-    weights, cuts = grades.fit(rows, columns, 6, grade, grades.Settings(rounds=800))
+    weights, cuts = grades.fit(rows, columns, 6, grade, grades.Settings())
     assert np.all(np.diff(cuts) > 0)
     assert np.abs(weights - true).max() < 0.5
     assert np.abs(cuts - [0.0, 2.0, 4.0]).max() < 0.5
 
 
+def penalised(x, grade, weights, cuts, ridge):
+    """The loss in plain code: one document after the other."""
+    total = 0.0
+    for row, g in zip(x, grade):
+        score = float(row @ weights)
+        tails = [1.0, *(1 / (1 + math.exp(cut - score)) for cut in cuts), 0.0]
+        total -= math.log(tails[g] - tails[g + 1])
+    return (total + 0.5 * sum(r * w * w for r, w in zip(ridge, weights))) / len(grade)
+
+
+@pytest.mark.parametrize(("seed", "effects"), [(1, None), (2, [2.0, 1.0, 0.5, 1.5]), (3, None)])
+def test_fit_agrees_with_an_independent_optimiser(seed, effects):
+    """Cyclic coordinate descent by golden sections on the loss alone, without any slope."""
+    rng = np.random.default_rng(seed)
+    x = (rng.random((240, 4)) < [0.5, 0.3, 0.2, 0.6]).astype(int)
+    grade = np.digitize(x @ [2.0, -1.5, 1.0, 0.5] + rng.logistic(size=240), [0.0, 1.5])
+    settings = grades.Settings(ridge=0.5)
+    own = None if effects is None else np.array(effects)
+    weights, cuts = grades.fit(*np.nonzero(x), 4, grade, settings, own)
+    ridge = np.full(4, 0.5) if own is None else 0.5 * (own.max() / own) ** 2
+    at = np.zeros(6)
+    at[5] = 1.0  # four weights, the first cut, the step to the second
+
+    def value(point):
+        return penalised(x, grade, point[:4], [point[4], point[4] + point[5]], ridge)
+
+    golden = (math.sqrt(5) - 1) / 2
+    width = 2.0
+    for _ in range(40):
+        for i in range(6):
+            low, high = at[i] - width, at[i] + width
+            if i == 5:
+                low = max(low, 1e-3)
+            while high - low > 1e-4 * width + 1e-7:
+                a, b = high - golden * (high - low), low + golden * (high - low)
+                point_a, point_b = at.copy(), at.copy()
+                point_a[i], point_b[i] = a, b
+                if value(point_a) < value(point_b):
+                    high = b
+                else:
+                    low = a
+            at[i] = (low + high) / 2
+        width = max(0.7 * width, 1e-3)
+    assert np.abs(weights - at[:4]).max() < 2e-3
+    assert np.abs(cuts - [at[4], at[4] + at[5]]).max() < 2e-3
+    assert penalised(x, grade, weights, cuts, ridge) <= value(at) + 1e-9
+
+
+def plain_features(text, buckets):
+    raw = (text or "").encode()
+    tokens, kinds = [], set()
+    low = raw.lower()
+    i = 0
+    word = lambda c: chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" or c >= 128
+    while i < len(low):
+        j = i
+        if low[i : i + 1].isspace():
+            i += 1
+            continue
+        while j < len(low) and word(low[j]) == word(low[i]) and not low[j : j + 1].isspace():
+            j += 1
+        tokens.append(low[i:j])
+        i = j
+    kinds = set(tokens)
+    n = max(len(tokens), 1)
+    capitals = sum(65 <= c <= 90 for c in raw)
+    symbols = sum(chr(c) in "#*$%&|<>!" for c in raw)
+    found = set(kinds) | {b"\x01" + k[:size] for k in kinds for size in (4, 5, 6) if len(k) > size}
+    found |= {
+        b"\x00distinct %d" % (20 * len(kinds) // n if n > 40 else -1),
+        b"\x00symbols %d" % min(20 * symbols // n, 20),
+        b"\x00capitals %d" % (10 * capitals // max(sum(c != 32 for c in raw), 1)),
+        b"\x00size %d" % n.bit_length(),
+    }
+    return sorted({zlib.crc32(f) % buckets for f in found})
+
+
+def test_features_and_telling_match_plain_code():
+    rng = random.Random(4)
+    words = ["spam", "Click", "fine", "prose", "naïve", "!!", "#1", "longerword", "longerwords"]
+    texts = [" ".join(rng.choices(words, k=rng.randrange(60))) for _ in range(300)] + [None, "", "A\tB\nC"]
+    found = [grades.features(t, 1 << 12) for t in texts]
+    for text, own in zip(texts, found):
+        assert own.tolist() == plain_features(text, 1 << 12)
+    grade = np.array([2 - ("spam" in (t or "")) - ("Click" in (t or "")) for t in texts])
+    settings = grades.Settings(buckets=1 << 12, deviation=3.0)
+    rows = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+    chosen, effects = grades.telling(rows, np.concatenate(found), grade, settings)
+    n, want = len(texts), {}
+    held = Counter(int(c) for f in found for c in f)
+    fit_for = [c for c, k in held.items() if settings.least_documents <= k < n]
+    bar = math.sqrt(settings.deviation**2 + 2 * math.log(max(1.0, len(fit_for) / settings.tested)))
+    for c in fit_for:
+        strongest = effect = 0.0
+        for k in (1, 2):
+            reached = sum(g >= k for g in grade)
+            good = sum(g >= k for g, f in zip(grade, found) if c in f)
+            share = reached / n
+            spread = math.sqrt(held[c] * (1 - held[c] / n) * share * (1 - share))
+            strongest = max(strongest, abs(good - held[c] * share) / spread)
+            odds = math.log((good + 0.5) / (held[c] - good + 0.5))
+            odds -= math.log((reached - good + 0.5) / (n - held[c] - (reached - good) + 0.5))
+            effect = max(effect, abs(odds))
+        if strongest >= bar:
+            want[c] = effect
+    assert chosen.tolist() == sorted(want)
+    assert np.allclose(effects, [want[c] for c in sorted(want)])
+
+
 def test_accuracy_on_documents_that_were_not_fitted(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     ratings = grades.graded(spark.read.parquet(f"{FOLDER}/labels.parquet"))
