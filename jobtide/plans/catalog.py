@@ -265,6 +265,19 @@ def fixed_sample_query(t: Tables) -> DataFrame:
     return fixed_sample(lines, 1000, seed=42)
 
 
+def merged_sample(t: Tables) -> DataFrame:
+    """The sample of the fact from the stored samples of its years, which is that of ``fixed_sample``."""
+    folder = shared_folder(t.spark, "amostras")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    turn = F.lit(f"{LAST_ARRIVAL_YEAR}-01-01").cast("date")
+    shipped = F.col("l_shipdate")
+    parts = (shipped.isNull() | (shipped < turn), shipped >= turn)
+    for number, own in enumerate(parts):
+        write_once(fixed_sample(lines.where(own).drop("l_shipdate"), 1000, seed=42), f"{folder}/parte={number}")
+    drawn = t.spark.read.parquet(*[f"{folder}/parte={number}" for number in range(len(parts))])
+    return fixed_sample(drawn, 1000, seed=42)
+
+
 def missing_months(t: Tables) -> DataFrame:
     """(month, municipality) pairs that occur in the raw fact but have no valid movement.
 
@@ -676,6 +689,7 @@ QUERIES = {
     "republished_months": republished_months,
     "streamed_tables": streamed_tables,
     "footer_ranges": footer_ranges,
+    "merged_sample": merged_sample,
 }
 
 

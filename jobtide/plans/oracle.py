@@ -435,6 +435,7 @@ tabelas AS (
 SELECT tabela, ano, mes, ano_mes, nome_municipio, sigla_uf, regiao, fase_pandemia, setor, saldo, saldo_base, indice
 FROM tabelas
 """
+BODIES["merged_sample"] = BODIES["fixed_sample"]
 BODIES["footer_ranges"] = "UNION ALL ".join(
     f"SELECT '{name}' AS tabela, count(*) AS registros, min({key}) AS minimo, max({key}) AS maximo FROM {name}\n"
     for name, key in (
