@@ -1,7 +1,8 @@
 """Line-first cleaning.
 
 Every line of a text is judged on its own by rules for punctuation, navigation and
-boilerplate. Failing lines are removed. A document is rejected if it then has lost too
+boilerplate. What is boilerplate is counted, whatever its language: a short line that stands in
+many different texts (copies of a text count once). Failing lines are removed. A document is rejected if it then has lost too
 much of its text, or if it is too short or too repetitive as a whole.
 
 The cost of a document follows its length: words are interned once, repeated windows
@@ -13,12 +14,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from jobtide.llm.frames import by_place, pick, place, utf8
+from jobtide.llm.frames import by_place, pick, place, stored, utf8
 
 # The characters that part words, and the symbols that are counted.
 WHITE = b" \t\n\v\f\r"
@@ -40,6 +43,8 @@ class Rules:
     shouting: float = 0.7  # share of a line's words that end in two stops or more
     bare_words: int = 3  # a line without a closing mark needs more words than this
     boilerplate_words: int = 30  # a longer line that mentions boilerplate is prose about it
+    common_percent: int = 1  # of the different texts that hold a short line make it boilerplate ...
+    common_texts: int = 20  # ... if they are so many at least
     most_lost: float = 0.5  # share of a document's characters in removed lines
     least_words: int = 20
     window: int = 8
@@ -107,8 +112,48 @@ def line_fails(line: bytes, rules: Rules) -> bool:
     return n <= rules.boilerplate_words and BOILERPLATE.search(line.lower()) is not None
 
 
-def judge(text: str | None, rules: Rules = Rules()) -> tuple:
-    """The columns of one document behind doc_id."""
+def line_key(line: bytes) -> bytes:
+    """What a line is counted by: a digest of it without the white space around it."""
+    return md5(line.strip(WHITE), usedforsecurity=False).digest()
+
+
+def common_lines(docs: DataFrame, rules: Rules = Rules()) -> frozenset[bytes]:
+    """Keys of the short lines that are boilerplate in `docs` (text).
+
+    (line, text) pairs are made distinct before lines are counted, both with partial sums, so a line of all
+    texts is no hot key. The driver gets at most 100 / `common_percent` keys of 16 bytes for each short
+    line that a text has in the mean, whatever the number of texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, texts = [], []
+            for text in batch.column(0).to_pylist():
+                raw = utf8(text)
+                short = {
+                    line_key(line)
+                    for line in raw.split(b"\n")
+                    if 0 < len(line.split()) <= rules.boilerplate_words
+                }
+                if not raw.strip(WHITE):
+                    continue
+                lines += [None, *short]  # null counts the texts
+                texts += [md5(raw, usedforsecurity=False).digest()] * (1 + len(short))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lines, pa.binary()), pa.array(texts, pa.binary())], ["line", "text"]
+            )
+
+    pairs = pick(docs, text="string").mapInArrow(run, "line binary, text binary").distinct()
+    counted = stored(pairs.groupBy("line").agg(F.count("*").alias("holders")), "line-holders")
+    whole = counted.where("line is null").first()
+    if whole is None:
+        return frozenset()
+    enough = F.expr(f"holders >= {rules.common_texts} and 100 * holders >= {rules.common_percent * whole.holders}")
+    return frozenset(bytes(row.line) for row in counted.where(F.col("line").isNotNull() & enough).collect())
+
+
+def judge(text: str | None, rules: Rules = Rules(), common: frozenset[bytes] = frozenset()) -> tuple:
+    """The columns of one document behind doc_id; `common` holds the keys of boilerplate lines."""
     raw = utf8(text)
     words = raw.split()
     n_words = len(words)
@@ -130,7 +175,8 @@ def judge(text: str | None, rules: Rules = Rules()) -> tuple:
             duplicates += 1
         else:
             seen.add(line)
-        if line_fails(line, rules):
+        known = common and len(line.split()) <= rules.boilerplate_words and line_key(line) in common
+        if known or line_fails(line, rules):
             removed += 1
             lost += bare_size
         else:
@@ -158,10 +204,11 @@ def clean_lines(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     null. Repeated rows are judged each. An empty table gives no rows. Other columns
     are left out.
     """
+    common = common_lines(docs, rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(text, rules) for text in batch.column(1).to_pylist()]
+            rows = [judge(text, rules, common) for text in batch.column(1).to_pylist()]
             if not rows:
                 continue
             columns = [batch.column(0), *zip(*rows)]
@@ -182,10 +229,11 @@ def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     at, size = place(docs, "text"), place(docs, "n_chars")
     plain = by_place(docs)
+    common = common_lines(docs, rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            judged = [judge(text, rules) for text in batch.column(at).to_pylist()]
+            judged = [judge(text, rules, common) for text in batch.column(at).to_pylist()]
             new = {at: pa.array([j[-1] for j in judged], batch.column(at).type)}
             if size is not None:
                 sizes = pa.array([None if j[-1] is None else len(j[-1]) for j in judged], pa.int64())

@@ -19,9 +19,13 @@ WITH texts AS (
 ), repeats AS (
   SELECT row, CAST(sum(least(8, next - i)) AS BIGINT) AS n_repeat_words FROM again GROUP BY row
 ), lines AS (
-  SELECT row, line, regexp_extract_all(line, '{WORD}') AS w
-  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM texts)
+  SELECT row, text, line, regexp_extract_all(line, '{WORD}') AS w,
+         regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare
+  FROM (SELECT row, text, unnest(string_split(text, chr(10))) AS line FROM texts)
   WHERE regexp_matches(line, '{WORD}')
+), common AS (
+  SELECT bare AS common_line FROM (SELECT DISTINCT bare, text FROM lines WHERE len(w) <= 30) GROUP BY bare
+  HAVING count(*) >= 20 AND 100 * count(*) >= (SELECT count(DISTINCT text) FROM lines)
 ), judged AS (
   SELECT row, line, strlen(line) AS size,
          length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > CAST(0.3 AS DOUBLE) * len(w)
@@ -31,8 +35,9 @@ WITH texts AS (
          OR len(list_filter(w, lambda x: regexp_matches(x, '(!!|\?\?|\.\.)$'))) > CAST(0.7 AS DOUBLE) * len(w)
          OR (len(w) <= 30 AND regexp_matches(line, '(?i)lorem ipsum|javascript|cookie|privacy policy'
              '|terms of (?:use|service)|all rights reserved|copyright \(c\)|subscribe to|sign up'
-             '|log ?in to|click here|read more|share this|page not found')) AS fails
-  FROM lines
+             '|log ?in to|click here|read more|share this|page not found'))
+         OR (len(w) <= 30 AND common_line IS NOT NULL) AS fails
+  FROM lines LEFT JOIN common ON bare = common_line
 ), by_line AS (
   SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
          count(*) FILTER (WHERE fails) AS n_lines_removed,

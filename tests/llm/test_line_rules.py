@@ -1,7 +1,9 @@
 """Line rules against plain counting."""
 
+import hashlib
 import random
 import re
+from collections import Counter
 
 from jobtide.llm import line_rules, queries
 
@@ -42,6 +44,54 @@ def test_counts_match_plain_code():
         assert not (row[7] and row[8])
 
 
+def plain_common(texts, least=20, percent=1):
+    """Keys of short lines that stand in many different texts."""
+    different = {t for t in texts if t and WORD.search(t)}
+    holders = Counter()
+    for text in different:
+        lines = {x.strip(" \t\n\v\f\r") for x in text.split("\n") if 0 < len(WORD.findall(x)) <= 30}
+        holders.update(lines)
+    found = [x for x, n in holders.items() if n >= least and 100 * n >= percent * len(different)]
+    return frozenset(hashlib.md5(x.encode()).digest() for x in found)
+
+
+MENUS = {
+    "fr": "Accueil Nos services Mentions légales Nous écrire",
+    "de": "Startseite Impressum Datenschutz Kontakt Warenkorb",
+    "es": "Inicio Quiénes somos Aviso legal Contacto Tienda",
+}
+
+
+def test_menus_of_any_language_go_by_their_frequency(spark):
+    rows = []
+    for i in range(120):
+        lang = ("fr", "de", "es")[i % 3]
+        own = "\n".join(prose(1000 * i + j) for j in range(5))
+        rows.append((i, f"  {MENUS[lang]}\t\n{own}"))
+    # Copies of one text, and a line that few texts hold, are no boilerplate.
+    copied = "A line that only one text has but many rows\n" + "\n".join(prose(j) for j in range(900, 905))
+    rows += [(1000 + i, copied) for i in range(60)]
+    rows += [(2000 + i, f"Nineteen texts hold this line here\n{prose(5000 + i)}\n{prose(6000 + i)}") for i in range(19)]
+    # A text that is little more than a menu goes as a whole.
+    rows += [(3000, "\n".join([*MENUS.values()] * 3 + [prose(7)]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    common = line_rules.common_lines(frame)
+    assert common == plain_common([t for _, t in rows]) == {line_rules.line_key(m.encode()) for m in MENUS.values()}
+    out = {r.doc_id: r for r in line_rules.clean_lines(frame).collect()}
+    for i, text in rows:
+        if i < 1000:
+            assert out[i].kept and out[i].clean_text == text.split("\n", 1)[1] and out[i].n_lines_removed == 1
+        elif i < 3000:
+            assert out[i].kept and out[i].n_lines_removed == 0
+    assert not out[3000].kept and not out[3000].base_failed
+    assert {r.doc_id for r in line_rules.keep_clean(frame).collect()} == {i for i, _ in rows if i < 3000}
+
+
+def test_common_lines_of_nothing(spark):
+    frame = spark.createDataFrame([(None,), ("",), (" \n ",)], "text string")
+    assert line_rules.common_lines(frame) == line_rules.common_lines(frame.limit(0)) == frozenset()
+
+
 PROSE = "The %d quick foxes jump over %d lazy dogs near %d river banks."
 
 

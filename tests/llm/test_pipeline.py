@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 from jobtide.llm import grades, line_rules
 from jobtide.llm.bpe import byte_encoder, public_vocabulary
+from test_line_rules import plain_common
 from test_simhash import plain_components, plain_print
 
 FOLDER = "/root/testdata/sf0.001"
@@ -62,7 +63,9 @@ def test_classifier_takes_effect(spark, stages):
 
 
 def test_rules_take_effect(stages):
-    judged = {doc: line_rules.judge(text) for doc, text in texts(stages[1]).items()}
+    before = texts(stages[1])
+    common = plain_common(before.values())
+    judged = {doc: line_rules.judge(text, common=common) for doc, text in before.items()}
     assert texts(stages[2]) == {doc: row[-1] for doc, row in judged.items() if row[-2]}
     for row in stages[2].collect():
         assert row.n_chars == len(row.text)
