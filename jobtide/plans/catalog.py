@@ -33,6 +33,7 @@ from jobtide.operators.sizing import size_shuffles
 from jobtide.plans import views
 from jobtide.plans.binding import BOOK, FIRST_YEAR, LAST_YEAR, Tables, whole_code
 from jobtide.plans.ingest import ingest_missing, withdraw
+from jobtide.plans.places import balance_by_place, integrated_by_place, lay_out
 from jobtide.plans.stages import build_tables
 from jobtide.schemas import MOVEMENTS, MUNICIPALITY_JSON
 from jobtide.session import shared_folder
@@ -628,6 +629,16 @@ def streamed_tables(t: Tables) -> DataFrame:
     )
 
 
+def colocated_municipalities(t: Tables) -> DataFrame:
+    """Balance by year and municipality of movements laid out by municipality, in two arrivals."""
+    folder = shared_folder(t.spark, "lugares")
+    raw, movements, out = _raw_months(t), f"{folder}/movimentos", f"{folder}/por_municipio"
+    for early in (True, False):
+        ingest_missing(t.spark, _write_text(raw.where(F.col("cedo") == early), f"{folder}/texto_{early}"), movements)
+        lay_out(t.spark, movements, _places(t), out, whole_code)
+    return balance_by_place(integrated_by_place(t.spark, movements, out, BOOK), BOOK)
+
+
 def footer_ranges(t: Tables) -> DataFrame:
     """Rows, least and largest key of four tables, from the footers of their files."""
     keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
@@ -690,6 +701,7 @@ QUERIES = {
     "streamed_tables": streamed_tables,
     "footer_ranges": footer_ranges,
     "merged_sample": merged_sample,
+    "colocated_municipalities": colocated_municipalities,
 }
 
 

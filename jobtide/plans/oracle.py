@@ -436,6 +436,7 @@ SELECT tabela, ano, mes, ano_mes, nome_municipio, sigla_uf, regiao, fase_pandemi
 FROM tabelas
 """
 BODIES["merged_sample"] = BODIES["fixed_sample"]
+BODIES["colocated_municipalities"] = BODIES["municipality_years"]
 BODIES["footer_ranges"] = "UNION ALL ".join(
     f"SELECT '{name}' AS tabela, count(*) AS registros, min({key}) AS minimo, max({key}) AS maximo FROM {name}\n"
     for name, key in (
