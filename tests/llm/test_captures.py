@@ -1,6 +1,9 @@
 """WARC round trip and index order."""
 
 import gzip
+import io
+from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -63,7 +66,7 @@ def test_index_is_in_global_order(spark, pages, ranges):
 def test_archives_are_warc(spark, pages, tmp_path):
     captures.write_archives(pages, f"file://{tmp_path}/a", captures.Settings(archive_bytes=1000))
     found = {}
-    for file in (tmp_path / "a").glob("part-*.gz"):
+    for file in (tmp_path / "a").glob("part-*"):
         raw = gzip.decompress(file.read_bytes())
         with gzip.open(file) as opened:
             for offset, length, header, block in captures.read_records(opened):
@@ -78,7 +81,7 @@ def test_archives_are_warc(spark, pages, tmp_path):
 
 def test_damage_is_found(spark, pages, tmp_path):
     captures.write_archives(pages, f"file://{tmp_path}/b")
-    file = next((tmp_path / "b").glob("part-*.gz"))
+    file = next((tmp_path / "b").glob("part-*"))
     raw = gzip.decompress(file.read_bytes()).replace(b"hhh", b"hhj", 1)
     import io
 
@@ -87,5 +90,52 @@ def test_damage_is_found(spark, pages, tmp_path):
             captures.capture(header, block)
 
 
+def test_index_leads_to_single_records(spark, pages):
+    rows = captures.archive_and_index(pages, captures.Settings(archive_bytes=4000, piece_bytes=500)).collect()
+    folder = max(Path(spark.conf.get("spark.checkpoint.dir")).glob("archives-*"), key=lambda p: p.stat().st_mtime)
+    for row in rows:
+        raw = (folder / row.archive).read_bytes()[row.offset : row.offset + row.length]
+        ((_, _, header, block),) = captures.read_records(io.BytesIO(gzip.decompress(raw)))
+        key, fields = captures.capture(header, block)
+        assert fields == (row.page_id, row.payload_bytes, row.payload_digest, row.record_type, row.refers_to)
+        assert key.startswith(row.url_key.encode())
+
+
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    """Many small pages, then large ones: no archive has more than its bytes and one record."""
+    sizes = [0] * 300 + [700] * 100 + [9000] * 20
+    html = [f"{i} ".ljust(size, "x") if size else None for i, size in enumerate(sizes)]
+    rows = [(i, f"http://a.com/{i}", h) for i, h in enumerate(html)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    captures.write_archives(pages, f"file://{tmp_path}/c", captures.Settings(archive_bytes=8000, piece_bytes=1000))
+    held = 0
+    for file in (tmp_path / "c").glob("part-*"):
+        records = [raw for _, _, raw in captures.members(memoryview(file.read_bytes()))]
+        held += len(records)
+        assert sum(map(len, records)) - max(map(len, records), default=0) <= 8000
+    assert held == len(rows)
+
+
+def test_large_ranges_are_cut_again(spark):
+    """A sample for three first ranges only, a table for many: every range stays small, also of one URL."""
+    rows = [(i, "http://hot.com/" if i % 3 else f"http://a{i % 40}.com/{i}", f"{i}") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    settings = captures.Settings(range_captures=100, sample=30, archive_bytes=60_000, piece_bytes=5000)
+    first, again, most = captures.splitters(pages, settings)
+    assert len(first) <= 2 and again is not None and most >= 10
+    got = captures.archive_and_index(pages, settings).orderBy("part", "place").collect()
+    keys = [(r.url_key, r.captured_at, r.page_id) for r in got]
+    assert keys == sorted(keys) and sorted(r.page_id for r in got) == list(range(3000))
+    sizes = Counter(r.part for r in got)
+    assert len(sizes) >= 15 and max(sizes.values()) <= 500
+
+
+def test_clashing_names(spark, pages):
+    other = pages.toDF("page_id", "url", "html", "PAGE_ID", "HTML")
+    want = captures.archive_and_index(pages).drop("archive", "offset", "length")
+    got = captures.archive_and_index(other).drop("archive", "offset", "length")
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
 def test_empty_table(pages):
     assert captures.archive_and_index(pages.limit(0)).collect() == []
