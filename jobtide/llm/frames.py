@@ -63,7 +63,10 @@ def utf8(value: str | None) -> bytes:
 
 
 def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
-    """`df` stored in `buckets` buckets of `key`, so that grouping by the key shuffles it no more."""
+    """`df` stored in `buckets` buckets of `key`, so that grouping by the key shuffles it no more.
+
+    The catalog has it only while it is written and opened; its files go when the application ends.
+    """
     spark = df.sparkSession
     name = f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
     (
@@ -73,4 +76,6 @@ def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
         .mode("overwrite")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    opened = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return opened
