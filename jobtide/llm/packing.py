@@ -20,8 +20,7 @@ at document ends, so memory does not grow with the partition.
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,71 +57,83 @@ class Costs:
     block: int = 1 << 20
 
 
-def document_cuts(
-    text: str, encoder: ByteEncoder, costs: Costs, separator: int
-) -> tuple[np.ndarray, list[int], list[float]]:
-    """A document's ids with the separator, the places where it may be cut, and their costs.
+def block_cuts(
+    ids: np.ndarray, ends: np.ndarray, encoder: ByteEncoder, costs: Costs
+) -> tuple[np.ndarray, np.ndarray]:
+    """The places where a block of documents may be cut, and their costs.
 
-    Places count ids from the document's start; the last one is its end, at no cost. A
-    sentence ends behind an id that ends in a stop if a space or line end follows, and
-    before a line end.
+    `ids` holds the documents one behind the other, each with its separator, and `ends`
+    where each one ends, a place at no cost. A sentence ends behind an id that ends in a
+    stop if a space or line end follows, and before a line end.
     """
-    ids = np.append(encoder.encode(text), np.uint32(separator))
-    n = len(ids)
-    before, after = ids[:-2], ids[1:-1]
+    before, after = ids[:-1], ids[1:]
+    separator = np.zeros(len(ids), bool)
+    separator[ends - 1] = True
+    inside = ~(separator[:-1] | separator[1:])
     line = encoder.lined[after] & ~encoder.blank[before]
-    space = encoder.spaced[after]
-    ends = np.flatnonzero(line | (space & encoder.stops[before])) + 1
-    edges = np.concatenate(([0], ends, [n]))
-    long = np.flatnonzero(np.diff(edges) > costs.long_sentence)
-    if not len(long):
-        return ids, [*ends.tolist(), n], [costs.sentence] * len(ends) + [0.0]
-    price = dict.fromkeys(ends.tolist(), costs.sentence)
+    space = encoder.spaced[after] & inside
+    stops = np.flatnonzero((line & inside) | (space & encoder.stops[before])) + 1
+    edges = np.sort(np.concatenate(([0], stops, ends)))
+    long = np.diff(edges) > costs.long_sentence
     spaces = np.flatnonzero(space) + 1
-    for begin, end in zip(edges[long].tolist(), edges[long + 1].tolist()):
-        own = spaces[np.searchsorted(spaces, begin) : np.searchsorted(spaces, end)]
-        own = own[own > begin]
-        # The first space of each stretch of `between` ids.
-        own = own[np.unique((own - begin) // costs.between, return_index=True)[1]]
-        price |= {at: price.get(at, costs.word) for at in own.tolist()}
-        known = np.concatenate(([begin], own, [end]))
-        for k in np.flatnonzero(np.diff(known) > costs.window // 2).tolist():
-            price |= {
-                at: costs.inside
-                for at in range(int(known[k]) + costs.window // 2, int(known[k + 1]), costs.window // 2)
-            }
-    price[n] = 0.0
-    places = sorted(price)
-    return ids, places, [price[at] for at in places]
-
-
-def best_cuts(places: list[int], prices: list[float], costs: Costs) -> list[int]:
+    sentence = np.searchsorted(edges, spaces, "right") - 1
+    inner = long[sentence] & (spaces > edges[sentence])
+    spaces, sentence = spaces[inner], sentence[inner]
+    # The first space of each stretch of `between` ids of a long sentence.
+    stretch = (spaces - edges[sentence]) // costs.between
+    first = np.ones(len(spaces), bool)
+    first[1:] = (sentence[1:] != sentence[:-1]) | (stretch[1:] != stretch[:-1])
+    spaces = spaces[first]
+    known = np.sort(np.concatenate((edges, spaces)))
+    half = costs.window // 2
+    wide = np.flatnonzero(np.diff(known) > half)
+    wide = wide[long[np.searchsorted(edges, known[wide], "right") - 1]]
+    more = [at for k in wide.tolist() for at in range(int(known[k]) + half, int(known[k + 1]), half)]
+    places = np.concatenate((stops, spaces, np.array(more, np.int64), ends))
+    price = (costs.sentence, costs.word, costs.inside, 0.0)
+    prices = np.repeat(price, (len(stops), len(spaces), len(more), len(ends)))
+    order = np.argsort(places)
+    return places[order], prices[order]
+
+
+def best_cuts(places: Sequence[int], prices: Sequence[float], costs: Costs) -> list[int]:
     """Ends of the windows over a stream that starts at 0 and ends at the last place.
 
     Places rise strictly, no two further apart than the window.
     """
     window = costs.window
-    place, price = [0, *places], [0.0, *prices]
-    index = {p: i for i, p in enumerate(place)}
+    stream = np.concatenate(([0], places))
     powers = [1 << k for k in range(window.bit_length()) if costs.least_power <= 1 << k <= window]
+    # The few places that lie a power of two behind another one, found for all at once.
+    exact: dict[int, list[int]] = {}
+    for power in powers:
+        back = np.searchsorted(stream, stream - power)
+        hits = np.flatnonzero(stream[back] == stream - power)
+        for j, i in zip(hits.tolist(), back[hits].tolist()):
+            exact.setdefault(j, []).append(i)
+    place = stream.tolist()
+    steps = (np.asarray(prices, float) + costs.opening).tolist()
     best, shifted, came = [0.0], [0.0], [0]
-    queue = deque([0])
-    for j in range(1, len(place)):
-        at = place[j]
-        while place[queue[0]] < at - window:
-            queue.popleft()
-        source = queue[0]
+    queue, head, front = [0], 0, 0  # from `head` on; `front` is the place of the first
+    for j, (at, step) in enumerate(zip(place[1:], steps), 1):
+        while front < at - window:
+            head += 1
+            front = place[queue[head]]
+        source = queue[head]
         least = shifted[source] + window - at
-        for power in powers:
-            i = index.get(at - power)
-            if i is not None and best[i] < least:
-                least, source = best[i], i
-        least += price[j] + costs.opening
+        if j in exact:
+            for i in exact[j]:
+                if best[i] < least:
+                    least, source = best[i], i
+        least += step
         best.append(least)
         came.append(source)
-        shifted.append(least + at)
-        while queue and shifted[queue[-1]] >= least + at:
+        value = least + at
+        shifted.append(value)
+        while len(queue) > head and shifted[queue[-1]] >= value:
             queue.pop()
+        if len(queue) == head:
+            front = at
         queue.append(j)
     ends, j = [], len(place) - 1
     while j:
@@ -154,48 +165,54 @@ def pack(
         encoder = byte_encoder(vocabulary or public_vocabulary())
         base = TaskContext.get().partitionId() << 36
         made = 0
-        block: list[tuple[int | None, np.ndarray]] = []
-        places: list[int] = []
-        prices: list[float] = []
+        end = np.array([separator], np.uint32)
+        doc_ids: list[int | None] = []
+        parts: list[np.ndarray] = []
+        held = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal made
-            rows: list[tuple] = []
-            ends = iter(best_cuts(places, prices, costs))
-            begin, end = 0, next(ends)
-            first = 0  # where the document starts in the stream
-            for doc_id, ids in block:
-                n = len(ids)
-                raw = ids.astype("<u4").tobytes()
-                at = 0
-                while at < n:
-                    if first + at == end:
-                        begin, end = end, next(ends)
-                        made += 1
-                    stop = min(n, end - first)
-                    rows.append(
-                        (doc_id, at, stop - at, n, base + made, first + at - begin, raw[4 * at : 4 * stop])
-                    )
-                    at = stop
-                first += n
-            made += 1
-            block.clear()
-            places.clear()
-            prices.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW)], schema=ARROW
-            )
+            nonlocal made, held
+            ids = np.concatenate(parts)
+            ends = np.cumsum([len(own) + 1 for own in parts[::2]])
+            windows = np.array(best_cuts(*block_cuts(ids, ends, encoder, costs), costs))
+            # A piece lies between two cuts, be they of a document or of a window.
+            stops = np.union1d(ends, windows)
+            starts = np.concatenate(([0], stops[:-1]))
+            doc = np.searchsorted(ends, starts, "right")
+            window = np.searchsorted(windows, starts, "right")
+            sizes = np.diff(ends, prepend=0)
+            columns = [
+                pa.array(doc_ids, pa.int64()).take(pa.array(doc)),
+                pa.array(starts - (ends - sizes)[doc]),
+                pa.array(stops - starts),
+                pa.array(sizes[doc]),
+                pa.array(base + made + window),
+                pa.array(starts - np.concatenate(([0], windows))[window]),
+                pa.Array.from_buffers(
+                    pa.binary(),
+                    len(stops),
+                    [
+                        None,
+                        pa.py_buffer((4 * np.concatenate(([0], stops))).astype(np.int32)),
+                        pa.py_buffer(ids.astype("<u4")),
+                    ],
+                ),
+            ]
+            made += len(windows)
+            held = 0
+            doc_ids.clear()
+            parts.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=ARROW)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids, own, own_prices = document_cuts(text or "", encoder, costs, separator)
-                before = places[-1] if places else 0
-                block.append((doc_id, ids))
-                places.extend([before + p for p in own])
-                prices.extend(own_prices)
-                if places[-1] >= costs.block:
+                ids = encoder.encode(text or "")
+                doc_ids.append(doc_id)
+                parts += (ids, end)
+                held += len(ids) + 1
+                if held >= costs.block:
                     yield close()
-        if block:
+        if doc_ids:
             yield close()
 
     return pick(docs, doc_id="long", text="string").mapInArrow(run, PIECES)

@@ -4,6 +4,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -80,6 +81,30 @@ def test_ids_are_those_of_the_tokenizer(exact):
         assert encoder.encode(text).tolist() == exact(text)
 
 
+def test_ids_beside_much_white_space(exact):
+    encoder = byte_encoder(public_vocabulary())
+    rng = random.Random(7)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1 \n\t\r\x85\xa0.'sé\x1c\x0b-") for _ in range(rng.randint(0, 14)))
+        assert encoder.encode(text).tolist() == exact(text)
+
+
+def test_cuts_of_a_block_are_those_of_its_documents():
+    encoder = byte_encoder(public_vocabulary())
+    costs = packing.Costs(window=64, long_sentence=12, between=4)
+    rng = random.Random(6)
+    words = ["a", "the ", "end. ", "\n", "\n\n", " ", "q!", "? ", "x" * 90, "xqzj" * 40]
+    texts = ["", "a", *["".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(60)], ""]
+    docs = [np.append(encoder.encode(text), np.uint32(0)) for text in texts]
+    ends = np.cumsum([len(ids) for ids in docs])
+    places, prices = packing.block_cuts(np.concatenate(docs), ends, encoder, costs)
+    alone = [packing.block_cuts(ids, np.array([len(ids)]), encoder, costs) for ids in docs]
+    assert places.tolist() == [at for (own, _), end, ids in zip(alone, ends, docs) for at in (own + end - len(ids)).tolist()]
+    assert prices.tolist() == [price for _, own in alone for price in own.tolist()]
+    assert set(prices.tolist()) == {0.0, costs.sentence, costs.word, costs.inside}
+    assert np.diff(places, prepend=0).max() <= costs.window // 2
+
+
 def test_every_id_lies_in_one_piece(spark, exact):
     docs = [(i, t) for i, t in enumerate(ODD)] + [(50, None), (None, "no id. here"), (3, ODD[3])]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
