@@ -15,11 +15,13 @@ from jobtide.plans.views import crisis_page, overview_page, region_table, region
 from jobtide.schemas import MOVEMENTS, SOURCE_FILE
 from jobtide.sources.raw import EXTRA, read_raw, read_raw_month
 from jobtide.sources.tables import (
+    WRITERS,
     combine_parts,
     file_counts,
     is_complete,
     read_malformed,
     read_movements,
+    write_fact,
     write_once,
 )
 from jobtide.streaming.monthly import current_monthly, monthly_preparation, refresh_monthly
@@ -367,6 +369,23 @@ def test_fact_is_read_once(spark, raw, tmp_path, monkeypatch):
     assert isinstance(reads[0], DataFrame)
 
 
+def test_fact_is_written_by_the_tasks_that_have_it(spark, tmp_path):
+    years = [F.col("id"), (2020 + F.col("id") % 3).cast("int").alias("ano")]
+    rows = spark.range(0, 3000, 1, 4).select(*years)
+    before = spark.conf.get(WRITERS, None)
+    write_fact(rows, str(tmp_path / "fato"), "ano")
+    # Moved to their years the rows would lie in one small file each.
+    assert {len(list((tmp_path / "fato" / f"ano={year}").glob("*.parquet"))) for year in (2020, 2021, 2022)} == {4}
+    assert sorted(spark.read.parquet(str(tmp_path / "fato")).collect()) == sorted(rows.collect())
+    assert spark.conf.get(WRITERS, None) == before
+
+
+def test_fact_with_more_partitions_than_open_files(spark, tmp_path):
+    rows = spark.range(0, 500, 1, 2).select("id", (F.col("id") % 50).alias("parte"))
+    write_fact(rows, str(tmp_path / "fato"), "parte")
+    assert sorted(spark.read.parquet(str(tmp_path / "fato")).collect()) == sorted(rows.collect())
+
+
 def test_from_raw_files_to_all_pages(spark, raw, tables):
     regions = region_table(spark)
     t = tables
