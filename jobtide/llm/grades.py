@@ -7,6 +7,9 @@ expected grade and the tail probability of every grade from one sum.
 Features are the distinct words, word beginnings and symbol runs of a text and a few marks
 of its shape (repetition, symbols, capitals), hashed into `buckets` numbers. The model is fitted on at
 most `sample` rated documents, chosen by a hash of doc_id; all documents are scored.
+
+The task that fits holds four bytes for each feature of a sampled document and eight for each
+that is fitted; whatever else it makes of them, it makes in blocks.
 """
 
 from __future__ import annotations
@@ -17,7 +20,6 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from jobtide.llm.frames import by_place, pick, place, stored, utf8
 STEMS = (4, 5, 6)
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TOKENS = re.compile(rb"[a-z0-9\x80-\xff]+|[^\sa-z0-9\x80-\xff]+")
+# Documents whose features are made or read at once, and (row, column) pairs that are worked on at once.
+DOCUMENTS, PAIRS = 256, 1 << 18
 
 
 @dataclass(frozen=True)
@@ -66,6 +70,24 @@ def features(text: str | None, buckets: int) -> np.ndarray:
     return np.unique(hashed % buckets)
 
 
+def blocks(n: int, least: int = 0) -> Iterator[slice]:
+    """Where `n` pairs part into blocks of at most `PAIRS`, or of `least` if that is more."""
+    size = max(PAIRS, least)
+    return (slice(at, at + size) for at in range(0, n, size))
+
+
+def sums(keys: np.ndarray, others: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """For each key 0..size-1 the sum of the values of its others, added in the order of the pairs.
+
+    Every block begins with the sums so far, so the blocks do not change the rounding.
+    """
+    out, own = np.zeros(size), np.arange(size)
+    for block in blocks(len(keys), size):
+        added = np.concatenate([out, values[others[block]]])
+        out = np.bincount(np.concatenate([own, keys[block]]), added, size)
+    return out
+
+
 def telling(
     rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, settings: Settings
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -78,12 +100,12 @@ def telling(
     the odds to reach a grade.
     """
     n = len(grades)
-    held = np.bincount(columns, minlength=settings.buckets)
+    held = sums(columns, rows, np.ones(n), settings.buckets)
     strongest, effect = np.zeros(settings.buckets), np.zeros(settings.buckets)
     for k in range(1, int(grades.max()) + 1):
         reached = (grades >= k).astype(float)
         share = reached.mean()
-        good = np.bincount(columns, reached[rows], settings.buckets)
+        good = sums(columns, rows, reached, settings.buckets)
         spread = np.sqrt(np.maximum(held * (1 - held / n), 1e-9) * share * (1 - share))
         strongest = np.maximum(strongest, np.abs(good - held * share) / spread)
         other = reached.sum() - good
@@ -128,7 +150,7 @@ def fit(
         """The penalised loss and its slopes."""
         weights = theta[:width]
         steps = np.exp(theta[width + 1 :])
-        score = np.bincount(rows, weights[columns], n)
+        score = sums(rows, columns, weights, n)
         tails = 1 / (1 + np.exp(-np.clip(score[:, None] - cuts_of(theta), -30, 30)))
         full = np.concatenate([np.ones((n, 1)), tails, np.zeros((n, 1))], axis=1)
         slope = full * (1 - full)
@@ -139,13 +161,13 @@ def fit(
         for k in range(top):
             by_cut[k] = (up[grades == k + 1].sum() - down[grades == k].sum()) / n
         slopes = np.empty_like(theta)
-        slopes[:width] = np.bincount(columns, by_score[rows], width) + ridge * weights / n
+        slopes[:width] = sums(columns, rows, by_score, width) + ridge * weights / n
         slopes[width] = by_cut.sum()
         slopes[width + 1 :] = by_cut[::-1].cumsum()[::-1][1:] * steps
         return -np.log(chance).mean() + (ridge * weights**2).sum() / (2 * n), slopes
 
     # A unit of each parameter changes the slope of the loss about alike.
-    held = np.bincount(columns, minlength=width)[:width]
+    held = sums(columns, rows, np.ones(n), width)
     unit = np.concatenate([1 / np.sqrt((0.1 * held + ridge) / n), np.ones(top)])
     theta = lowest(lambda x: _scaled(loss, x, unit), start / unit, settings.rounds, settings.slope) * unit
     return theta[:width], cuts_of(theta)
@@ -194,6 +216,59 @@ def lowest(
     return x
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most `DOCUMENTS` at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, DOCUMENTS):
+            yield batch.slice(at, DOCUMENTS)
+
+
+def fitted(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
+    """The model's rows from those of the sample: doc_id, grade, features as int32 in bytes.
+
+    Of rows of one doc_id the first counts. Documents stand in the order of their ids.
+    """
+    parts: list[tuple[np.ndarray, ...]] = []
+    for piece in pieces(batches):
+        found = piece.column(2).to_pylist()
+        ids, marks = (piece.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        sizes = np.array([len(f) // 4 for f in found])
+        parts.append((ids, marks, sizes, np.frombuffer(b"".join(found), "<i4")))
+    if not parts:
+        return
+    ids, marks, sizes, flat = (np.concatenate(own) for own in zip(*parts))
+    parts.clear()
+    _, first = np.unique(ids, return_index=True)
+    # Grades that no sampled document has are left out of the fit.
+    present, grades = np.unique(marks[first], return_inverse=True)
+    if len(present) < 2:
+        return
+    position = np.full(len(ids), -1, np.int32)
+    position[first] = np.arange(len(first))
+    rows = np.repeat(position, sizes)
+    if len(first) < len(ids):
+        rows, flat = rows[rows >= 0], flat[rows >= 0]
+    common, effects = telling(rows, flat, grades, settings)
+    number = np.full(settings.buckets, -1, np.int32)
+    number[common] = np.arange(len(common))
+    picked = []
+    for block in blocks(len(flat)):
+        at = number[flat[block]]
+        picked.append((rows[block][at >= 0], at[at >= 0]))
+    del flat
+    rows, columns = (np.concatenate(own) for own in zip(*picked))
+    picked.clear()
+    order = np.argsort(rows, kind="stable")
+    rows, columns = rows[order], columns[order]
+    del order
+    weights, cuts = fit(rows, columns, len(common), grades, settings, effects)
+    for kind, numbers, values in (("weight", common, weights), ("cut", present[1:], cuts), ("least", present[:1], [0.0])):
+        kinds = pa.array([kind] * len(numbers), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [kinds, pa.array(numbers, pa.int64()), pa.array(values, pa.float64())], ["kind", "number", "value"]
+        )
+
+
 def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The model as rows (kind, number, value): kind 'weight' by feature, 'cut' by grade.
 
@@ -219,37 +294,20 @@ def train(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings())
     texts = pick(docs, doc_id="long", text="string").join(F.broadcast(chosen), "doc_id")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t, settings.buckets) for t in batch.column(1).to_pylist()]
+        for piece in pieces(batches):
+            found = [features(t, settings.buckets).astype("<i4").tobytes() for t in piece.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int64()))],
+                [piece.column(0), piece.column(2), pa.array(found, pa.binary())],
                 ["doc_id", "grade", "features"],
             )
 
-    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rated = pd.concat([pd.DataFrame({"doc_id": [], "grade": [], "features": []}), *frames])
-        rated = rated.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
-        grades = rated["grade"].to_numpy(np.int64)
-        if len(np.unique(grades)) < 2:
-            return
-        # Grades that no sampled document has are left out of the fit.
-        present, grades = np.unique(grades, return_inverse=True)
-        sizes = rated["features"].map(len).to_numpy()
-        flat = np.concatenate(rated["features"].to_list())
-        rows = np.repeat(np.arange(len(rated)), sizes)
-        common, effects = telling(rows, flat, grades, settings)
-        number = np.full(settings.buckets, -1)
-        number[common] = np.arange(len(common))
-        use = number[flat] >= 0
-        weights, cuts = fit(rows[use], number[flat[use]], len(common), grades, settings, effects)
-        yield pd.DataFrame({"kind": "weight", "number": common, "value": weights})
-        yield pd.DataFrame({"kind": "cut", "number": present[1:], "value": cuts})
-        yield pd.DataFrame({"kind": "least", "number": present[:1], "value": 0.0})
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fitted(batches, settings)
 
     extracted = stored(
-        texts.mapInArrow(extract, "doc_id long, grade int, features array<long>"), "rated-features"
+        texts.mapInArrow(extract, "doc_id long, grade int, features binary"), "rated-features"
     )
-    model = extracted.coalesce(1).mapInPandas(solve, "kind string, number long, value double")
+    model = extracted.coalesce(1).mapInArrow(solve, "kind string, number long, value double")
     return stored(model, "grades-model")
 
 

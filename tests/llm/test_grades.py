@@ -2,11 +2,13 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from jobtide.llm import grades, queries
@@ -227,3 +229,57 @@ def test_capitals_count_wherever_they_stand():
     assert first.tolist() == last.tolist()
     only = grades.features((loud + calm).lower(), 1 << 20)
     assert len(np.setdiff1d(first, only)) == 1  # the mark of capitals
+
+
+def peak(action):
+    """What an action returns, and the bytes that were allocated at once while it ran."""
+    tracemalloc.start()
+    try:
+        return action(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_fit_makes_no_copies_of_all_pairs():
+    rng = np.random.default_rng(5)
+    rows = np.repeat(np.arange(10_000, dtype=np.int32), 400)
+    columns = rng.integers(0, 1000, len(rows), np.int32)
+    grade = rng.integers(0, 3, 10_000)
+    grade[columns.reshape(-1, 400).min(axis=1) > 2] = 2
+    settings = grades.Settings(buckets=1 << 12, rounds=3)
+    (chosen, effects), most = peak(lambda: grades.telling(rows, columns, grade, settings))
+    assert len(chosen) and most < 4 * len(rows)
+    (weights, _), most = peak(lambda: grades.fit(rows, columns, 1000, grade, settings))
+    assert np.abs(weights).max() > 0 and most < 4 * len(rows)
+
+
+def test_sums_of_blocks_round_as_one_sum(monkeypatch):
+    rng = np.random.default_rng(6)
+    keys, others, values = rng.integers(0, 9, 5000), rng.integers(0, 70, 5000), rng.normal(size=70)
+    whole = np.bincount(keys, values[others], 12)
+    for size in (1, 100, 4999, 5000, 1 << 18):
+        monkeypatch.setattr(grades, "PAIRS", size)
+        assert np.array_equal(grades.sums(keys, others, values, 12), whole)
+    assert grades.sums(keys[:0], others[:0], values, 3).tolist() == [0, 0, 0]
+
+
+def test_fitted_rows_do_not_depend_on_batches_or_order():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["spam", "click", "fine", "prose", "word"], k=9)) for _ in range(400)]
+    docs = [(i, ("spam" not in t) + ("click" not in t), t) for i, t in enumerate(texts)]
+    settings = grades.Settings(buckets=1 << 12, deviation=1.0)
+
+    def model(rows, size):
+        rows = [(i, g, grades.features(t, settings.buckets).astype("<i4").tobytes()) for i, g, t in rows]
+        schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("features", pa.binary())])
+        batches = [
+            pa.record_batch([list(c) for c in zip(*rows[at : at + size])], schema=schema)
+            for at in range(0, len(rows), size)
+        ]
+        return pa.Table.from_batches(grades.fitted(iter(batches), settings)).to_pylist()
+
+    first = model(docs, 400)
+    assert {row["kind"] for row in first} == {"weight", "cut", "least"}
+    # A later row of an id counts for nothing, whatever it says.
+    assert model([*rng.sample(docs, 400), *((i, 0, "late") for i in range(50))], 37) == first
+    assert list(grades.fitted(iter([]), settings)) == []
