@@ -118,3 +118,11 @@ def test_codebook_values():
     assert len(DEFAULT_CODEBOOK.valid_ufs) == 27
     assert DEFAULT_CODEBOOK.schooling_code["Analfabeto"] == 0
     assert DEFAULT_CODEBOOK.schooling_code["Doutorado"] == 8
+
+
+def test_month_text_is_the_formatters(spark):
+    dates = ["0001-01-01", "0999-12-31", "1000-01-01", "1582-10-04", "1995-02-28", "9999-12-31", "+10000-01-01", "-0044-03-15"]
+    table = spark.createDataFrame([(x,) for x in [*dates, None]], "x string").select(F.col("x").try_cast("date").alias("x"))
+    both = table.select(periods.month_text(F.col("x")), F.date_format("x", "yyyyMM")).collect()
+    assert len(both) == len(dates) + 1 and both[4][0] == "199502" and both[-1] == (None, None)
+    assert [row[0] for row in both] == [row[1] for row in both]

@@ -79,6 +79,36 @@ def test_the_users_own_shuffle_setting_comes_back(spark, monkeypatch):
     assert spark.conf.get(key, None) is None
 
 
+def test_shuffles_grow_with_known_rows(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    fact = Tables(spark, FOLDER).lineitem
+    try:
+        # Repetitive rows fill few bytes, but as much memory as others.
+        sizing.size_shuffles(fact, 1000 * sizing.ROWS_PER_PARTITION)
+        assert spark.conf.get(key) == "1000"
+        sizing.size_shuffles(fact, sizing.ROWS_PER_PARTITION)
+        assert spark.conf.get(key, None) is None
+    finally:
+        spark.conf.unset(key)
+
+
+def test_small_sides_are_hashed_where_asked_for(spark, large_table_joins):
+    tables = Tables(spark, FOLDER)
+
+    def joined():
+        keys = tables.customer.withColumnRenamed("c_custkey", "o_custkey")
+        result = tables.orders.repartition("o_orderkey").join(keys, "o_custkey", "left")
+        return len(result.collect()), plan_of(result)
+
+    before = spark.conf.get(sizing.HASH_JOIN_BYTES)
+    with sizing.hash_joins(spark):
+        rows, plan = joined()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan[: plan.index("Initial Plan")]
+    assert spark.conf.get(sizing.HASH_JOIN_BYTES) == before
+    same, plan = joined()
+    assert same == rows and "SortMergeJoin" in plan[: plan.index("Initial Plan")]
+
+
 def test_missing_files_scan_the_fact_once(spark):
     plan = plan_of(contract.queries()["missing_files"](spark, FOLDER))
     assert plan.count("l_returnflag:string") == 1 and "LeftAnti" not in plan
